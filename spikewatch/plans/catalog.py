@@ -223,8 +223,7 @@ def requests_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detect_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch path: text lines to evaluated windows."""
-    good = accepted(_parsed(spark, sf_dir))
-    return shown(detect(good.filter(F.col("event_time_millis") > DAY * 1000), BY_TYPE))
+    return shown(detect(accepted(_parsed(spark, sf_dir)), BY_TYPE))
 
 
 # Alerts and their log.

@@ -283,8 +283,8 @@ SQL: dict[str, str] = {
         table_dates("lineitem", "l_returnflag", "l_shipdate"), WEEKLY
     ),
     "detect_from_lines": f"""WITH RECURSIVE {REQUESTS},
-{evaluated(f"SELECT zone_id AS zone, event_time_millis AS e FROM parsed "
-           f"WHERE reject_reason IS NULL AND event_time_millis > {DAY * 1000}", BY_TYPE)}
+{evaluated("SELECT zone_id AS zone, event_time_millis AS e FROM parsed "
+           "WHERE reject_reason IS NULL", BY_TYPE)}
 SELECT zone, {iso('t')} AS window_end, c AS request_count, round(base, 6) AS ema_baseline, status
 FROM out""",
     "window_counts_by_panes": window_rows(BY_USER_ID, UNEVEN),

@@ -8,8 +8,11 @@ towards the key's first event time.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from typing import Any
+from dataclasses import dataclass, field, fields
+from itertools import accumulate
+from typing import Any, ClassVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -80,8 +83,34 @@ def collapsed(requests: DataFrame, cfg: SurgeConfig, key: str, time: str) -> Dat
     )
 
 
+@dataclass
+class KeyState:
+    """What is kept per key, stored as one row: a read and a write per micro-batch.
+
+    ``panes`` and ``counts`` go together; ``pending`` are the window ends still to
+    fire; ``timer`` is the window end the key's one timer stands for.
+    """
+
+    panes: list[int] = field(default_factory=list)
+    counts: list[int] = field(default_factory=list)
+    pending: list[int] = field(default_factory=list)
+    average: float | None = None
+    first_ms: int | None = None
+    emit_seq: int = 0
+    timer: int | None = None
+
+    # Same order as the fields.
+    SCHEMA: ClassVar[str] = (
+        "panes array<bigint>, counts array<bigint>, pending array<bigint>, "
+        "average double, first_ms bigint, emit_seq bigint, timer bigint"
+    )
+
+    def row(self) -> tuple:
+        return tuple(getattr(self, f.name) for f in fields(self))
+
+
 class RefireProcessor(StatefulProcessor):
-    """Pane counts, average and first event time of one key, with a timer per window end."""
+    """Fires window ends in order as the watermark passes them, late ones again."""
 
     def __init__(self, cfg: SurgeConfig) -> None:
         self.cfg = cfg
@@ -89,68 +118,95 @@ class RefireProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.panes = handle.getMapState("panes", "pane bigint", "n bigint")
-        self.baseline = handle.getValueState("baseline", "average double, emit_seq bigint")
-        self.first = handle.getValueState("first", "first_ms bigint")
+        self.stored = handle.getValueState("key_state", KeyState.SCHEMA)
 
-    def _fire(self, zone: str, ends: list[int]) -> Iterator[Row]:
-        """Evaluate windows in ascending order of their ends."""
+    def _load(self) -> KeyState:
+        row = self.stored.get()
+        if row is None:
+            return KeyState()
+        lists = [list(values) for values in row[:3]]
+        return KeyState(*lists, *row[3:])
+
+    def _fire(self, zone: str, state: KeyState, watermark: int) -> Iterator[Row]:
+        """Evaluate the pending windows up to the watermark, in ascending order."""
         cfg = self.cfg
-        panes = {k[0]: v[0] for k, v in self.panes.iterator()}
-        average, seq = self.baseline.get() if self.baseline.exists() else (None, 0)
-        warm_until = self.first.get()[0] + cfg.window_ms
-        for end in ends:
-            start = end - cfg.window_ms
-            count = sum(n for pane, n in panes.items() if start <= pane < end)
-            warming = average is None or end <= warm_until
-            (baseline,), average = fold_counts([count], int(warming), average, cfg.alpha)
+        due = sorted(end for end in state.pending if end <= watermark)
+        if not due:
+            return
+        state.pending = [end for end in state.pending if end > watermark]
+        below = [0, *accumulate(state.counts)]
+        counts = [
+            below[bisect_left(state.panes, end)]
+            - below[bisect_left(state.panes, end - cfg.window_ms)]
+            for end in due
+        ]
+        warm_until = state.first_ms + cfg.window_ms
+        # The first window of a key has no average to compare with.
+        warm = max(bisect_right(due, warm_until), int(state.average is None))
+        shown, state.average = fold_counts(counts, warm, state.average, cfg.alpha)
+        for i, (end, count, baseline) in enumerate(zip(due, counts, shown)):
             yield Row(
                 zone=zone,
                 window_end_ms=end,
                 request_count=count,
                 ema_baseline=baseline,
-                status=status_text(count, baseline, warming, cfg.surge_threshold),
-                emit_seq=seq,
+                status=status_text(count, baseline, i < warm, cfg.surge_threshold),
+                emit_seq=state.emit_seq + i,
             )
-            seq += 1
-            for pane in [p for p in panes if p < start - cfg.lateness_ms]:
-                del panes[pane]
-                self.panes.removeKey((pane,))
-        self.baseline.update((average, seq))
+        state.emit_seq += len(due)
+        # Each firing prunes; the last one of an ascending pass prunes the most.
+        gone = bisect_left(state.panes, due[-1] - cfg.window_ms - cfg.lateness_ms)
+        del state.panes[:gone], state.counts[:gone]
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+    def _add(self, state: KeyState, rows: Iterator[Row], watermark: int | None) -> None:
         cfg = self.cfg
+        panes = dict(zip(state.panes, state.counts))
+        pending = set(state.pending)
+        for row in rows:
+            if state.first_ms is None or row.first_ms < state.first_ms:
+                state.first_ms = row.first_ms
+            if watermark is not None and watermark > row.latest_end + cfg.lateness_ms:
+                continue
+            panes[row.pane] = panes.get(row.pane, 0) + row.n
+            pending.update(range(row.next_end, row.latest_end + 1, cfg.slide_ms))
+        state.panes = sorted(panes)
+        state.counts = [panes[pane] for pane in state.panes]
+        state.pending = sorted(pending)
+
+    def _save(self, state: KeyState) -> None:
+        """Store the state and move the timer to the earliest window still to fire."""
+        timer = min(state.pending, default=None)
+        if timer != state.timer:
+            if state.timer is not None:
+                self.handle.deleteTimer(state.timer - self.hold_back)
+            if timer is not None:
+                self.handle.registerTimer(timer - self.hold_back)
+            state.timer = timer
+        self.stored.update(state.row())
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         held = timerValues.getCurrentWatermarkInMs()
         # Zero means that there is no watermark yet.
         watermark = held + self.hold_back if held > 0 else None
+        state = self._load()
         if watermark is not None:
             # Spark runs timers after the rows; windows already due must not see them.
-            due = sorted(t for t in self.handle.listTimers() if t <= held)
-            if due:
-                yield from self._fire(key[0], [t + self.hold_back for t in due])
-                for t in due:
-                    self.handle.deleteTimer(t)
-
-        known = self.first.get()[0] if self.first.exists() else None
-        first, added, ends = known, {}, set()
-        for row in rows:
-            first = row.first_ms if first is None else min(first, row.first_ms)
-            if watermark is not None and watermark > row.latest_end + cfg.lateness_ms:
-                continue
-            added[row.pane] = added.get(row.pane, 0) + row.n
-            ends.update(range(row.next_end, row.latest_end + 1, cfg.slide_ms))
-        if first != known:
-            self.first.update((first,))
-        for pane, n in added.items():
-            held_n = self.panes.getValue((pane,))[0] if self.panes.containsKey((pane,)) else 0
-            self.panes.updateValue((pane,), (held_n + n,))
-        for end in ends:
-            self.handle.registerTimer(end - self.hold_back)
+            yield from self._fire(key[0], state, watermark)
+        self._add(state, rows, watermark)
+        if watermark is not None:
+            # Late rows brought fired windows back.
+            yield from self._fire(key[0], state, watermark)
+        self._save(state)
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[Row]:
-        yield from self._fire(key[0], [expiredTimerInfo.getExpiryTimeInMs() + self.hold_back])
+        state = self._load()
+        # Spark removes this timer itself once it has been handled.
+        state.timer = None
+        watermark = timerValues.getCurrentWatermarkInMs() + self.hold_back
+        yield from self._fire(key[0], state, watermark)
+        self._save(state)
 
     def close(self) -> None:
         pass
