@@ -19,8 +19,8 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by keys at the session's shuffle width.
 
     The width is given outright so that adaptive execution does not merge the
-    partitions: pane rows are few bytes each, yet every one fans out into several
-    windows and a Python fold, so work is far larger than the shuffled size suggests.
+    partitions: a pane row is a few bytes, yet it leads to several windows and a step
+    in Python each, far more work than the shuffled size suggests.
     """
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(width, *keys)

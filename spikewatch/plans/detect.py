@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from spikewatch.config import SurgeConfig
 from spikewatch.functions.numbers import round_cents
-from spikewatch.operators.baseline import ema_baseline
-from spikewatch.operators.windows import window_counts
+from spikewatch.operators.panefold import detect_panes
+from spikewatch.operators.windows import pane_counts, spread
 
 
 def detect(
@@ -22,7 +22,7 @@ def detect(
     Returns ``zone, window_end_ms, request_count, ema_baseline, status``, unrounded.
     """
     cfg = cfg or SurgeConfig()
-    return ema_baseline(window_counts(events, cfg, key, time_ms), cfg)
+    return detect_panes(spread(pane_counts(events, cfg, key, time_ms), "zone"), cfg)
 
 
 def as_alerts(evaluations: DataFrame) -> DataFrame:

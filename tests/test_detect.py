@@ -106,6 +106,8 @@ def test_against_brute_force(spark, cfg):
     assert by_zone(detect(df, cfg)) == expected
     assert by_zone(history.detect_long(df, cfg, block_windows=1)) == expected
 
+    assert by_zone(ema_baseline(window_counts(df, cfg), cfg)) == expected
+
     timed = df.withColumn("event_time", F.timestamp_millis("event_time_millis"))
     columns = ["zone", "window_end_ms", "request_count", "first_ms"]
     panes = window_counts(df, cfg).select(columns)
@@ -113,6 +115,24 @@ def test_against_brute_force(spark, cfg):
     assert sorted(panes.collect()) == sorted(builtin.collect())
 
 
+@pytest.mark.parametrize("cfg", CONFIGS)
+@pytest.mark.parametrize("batch", [1, 3, 7])
+def test_passes_in_small_pieces(spark, cfg, batch):
+    """Keys and windows cut anywhere by the size of the batches sent to Python."""
+    rng = random.Random(batch)
+    rows = random_rows(rng, 80, 150_000, 1000) + random_rows(rng, 20, 1_000_000, 500)
+    df = spark.createDataFrame(rows, SCHEMA)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, batch)
+    try:
+        expected = batch_rows(rows, cfg)
+        assert by_zone(detect(df, cfg)) == expected
+        assert by_zone(ema_baseline(window_counts(df, cfg), cfg)) == expected
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_literal_key(spark):
     rows = [row for batch in replay(60) for row in batch if row[0] == "Airport"]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("all", F.lit("Airport"))
