@@ -78,7 +78,7 @@ def audit_arrivals(
     """
     newest = newest_before(events, arrival, time_ms).withColumnRenamed("arrival", "_arrival")
     event_ms, newest_ms = F.col(time_ms), F.col("newest_ms")
-    return events.join(newest, F.col(arrival) == F.col("_arrival")).select(
+    return events.join(newest, F.col(arrival) == F.col("_arrival"), "left").select(
         *events.columns,
         (newest_ms - F.lit(cfg.watermark_ms)).alias("watermark_ms"),
         F.greatest(F.lit(0), F.coalesce(newest_ms - event_ms, F.lit(0))).alias("lag_ms"),

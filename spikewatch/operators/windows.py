@@ -8,7 +8,7 @@ belong to.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikewatch.config import SurgeConfig
@@ -45,14 +45,14 @@ def pane_counts(
     )
 
 
-def pane_ends(cfg: SurgeConfig):
+def pane_ends(cfg: SurgeConfig) -> Column:
     """Ends of all windows that hold the pane starting at column ``pane``."""
     first = align_down(F.col("pane"), cfg.slide_ms) + F.lit(cfg.slide_ms)
     last = align_down(F.col("pane") + F.lit(cfg.window_ms), cfg.slide_ms)
     return F.sequence(first, last, F.lit(cfg.slide_ms).cast("long"))
 
 
-def caused(cfg: SurgeConfig):
+def caused(cfg: SurgeConfig) -> Column:
     """Whether some event lies past the window's start, so that the window exists."""
     if cfg.is_tumbling:
         return F.lit(True)
@@ -84,26 +84,30 @@ def window_counts(
     )
 
 
-def window_counts_builtin(
-    events: DataFrame,
-    cfg: SurgeConfig,
-    key: str = "zone_id",
-    time: str = "event_time",
-) -> DataFrame:
-    """The same counts through Spark's ``window()``; the form that also runs on streams.
+def window_span(of: str, cfg: SurgeConfig) -> Column:
+    """``window()`` with *ends* on multiples of the slide.
 
-    ``window()`` aligns starts, so they are shifted to put the *ends* on multiples of
-    the slide when the slide does not divide the window.
+    ``window()`` aligns starts, so they are shifted when the slide does not divide the
+    window. ``of`` is a time column or another window column.
     """
     shift = (cfg.slide_ms - cfg.window_ms % cfg.slide_ms) % cfg.slide_ms
-    span = F.window(
-        F.col(time),
+    return F.window(
+        F.col(of),
         f"{cfg.window_ms} milliseconds",
         f"{cfg.slide_ms} milliseconds",
         f"{shift} milliseconds",
     )
+
+
+def window_counts_builtin(
+    events: DataFrame,
+    cfg: SurgeConfig,
+    key: str = "zone_id",
+    time: str = "event_time",
+) -> DataFrame:
+    """The same counts through Spark's ``window()``; also runs on streams."""
     return (
-        events.groupBy(F.col(key).alias("zone"), span.alias("span"))
+        events.groupBy(F.col(key).alias("zone"), window_span(time, cfg).alias("span"))
         .agg(
             F.count(F.lit(1)).alias("request_count"),
             F.min(F.unix_millis(F.col(time))).alias("first_ms"),
@@ -111,4 +115,38 @@ def window_counts_builtin(
         )
         .withColumn("window_end_ms", F.unix_millis("span.end"))
         .filter(caused(cfg))
+        .select("zone", "window_end_ms", "request_count", "first_ms")
+    )
+
+
+def window_counts_chained(
+    events: DataFrame,
+    cfg: SurgeConfig,
+    key: str = "zone_id",
+    time: str = "event_time",
+) -> DataFrame:
+    """The same counts for streams: ``window()`` panes first, then windows of panes.
+
+    ``window()`` copies each row once per window it falls in. Here it copies pane rows,
+    once their pane has closed, and events only meet a tumbling window.
+    """
+    if cfg.is_tumbling:
+        return window_counts_builtin(events, cfg, key, time)
+    pane = F.window(F.col(time), f"{cfg.pane_ms} milliseconds")
+    return (
+        events.groupBy(F.col(key).alias("zone"), pane.alias("pane"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.unix_millis(F.col(time))).alias("pane_first_ms"),
+            F.max(F.unix_millis(F.col(time))).alias("pane_last_ms"),
+        )
+        .groupBy("zone", window_span("pane", cfg).alias("span"))
+        .agg(
+            F.sum("n").alias("request_count"),
+            F.min("pane_first_ms").alias("first_ms"),
+            F.max("pane_last_ms").alias("last_ms"),
+        )
+        .withColumn("window_end_ms", F.unix_millis("span.end"))
+        .filter(caused(cfg))
+        .select("zone", "window_end_ms", "request_count", "first_ms")
     )

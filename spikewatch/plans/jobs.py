@@ -28,13 +28,15 @@ def start_job(
     cfg: SurgeConfig | None = None,
     mode: str = "final",
     fmt: str = "json",
+    files: int | None = None,
     until_caught_up: bool = False,
     **columns: str,
 ) -> StreamingQuery:
     """Start detection over a stream with an ``event_time`` column.
 
     ``until_caught_up`` processes what is there and stops. The log at ``path`` is
-    truncated when the job starts with a fresh checkpoint and continued otherwise.
+    truncated when the job starts with a fresh checkpoint and continued otherwise;
+    ``files`` bounds the files per micro-batch.
     """
     cfg = cfg or SurgeConfig()
     if mode not in MODES:
@@ -45,7 +47,7 @@ def start_job(
         as_alerts(evaluations)
         .writeStream.outputMode("append" if mode == "final" else "update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(path, fmt))
+        .foreachBatch(batch_writer(path, fmt, files))
     )
     if until_caught_up:
         writer = writer.trigger(availableNow=True)

@@ -52,18 +52,24 @@ def alert_line() -> Column:
     return F.concat(F.lit('{"ema_baseline":'), baseline, F.lit(","), F.substring(rest, 2, 2**31 - 1))
 
 
+def _read_text(spark: SparkSession, path: str) -> DataFrame | None:
+    """The text at ``path``, or nothing if there is no such path."""
+    try:
+        return spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank lines with ``row_order``, their order in the log; empty if there is no log.
 
     ``row_order`` is (micro-batch, file, block, line), so that later batches come last.
     """
-    try:
-        text = spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        text = spark.createDataFrame([], "value string, row_order struct<batch:bigint>")
-        return text
+    text = _read_text(spark, path)
+    if text is None:
+        return spark.createDataFrame([], "value string, row_order struct<batch:bigint>")
     batch = F.col("emit_batch") if "emit_batch" in text.columns else F.lit(0)
     order = F.struct(
         batch.cast("bigint").alias("batch"),
@@ -142,13 +148,28 @@ def status_message(quality: DataFrame, name: str) -> DataFrame:
     )
 
 
-def write_batch(alerts: DataFrame, path: str, batch_id: int, fmt: str = "json") -> None:
+def log_status(spark: SparkSession, path: str) -> DataFrame:
+    """Quality and message of the log at ``path``, also when it does not exist yet."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    status = status_message(log_quality(parse_alerts(log_lines(spark, path))), name)
+    if _read_text(spark, path) is None:
+        # Fixed wording.
+        status = status.withColumn("message", F.lit(f"Waiting for data file: {name}"))
+    return status
+
+
+def write_batch(
+    alerts: DataFrame, path: str, batch_id: int, fmt: str = "json", files: int | None = None
+) -> None:
     """Write one batch of alert rows as ``emit_batch=<batch_id>``.
 
     The first batch truncates the log; every later one replaces only its own folder.
-    Rows are kept in ``emit_seq`` order per key where that column exists.
+    Rows are kept in ``emit_seq`` order per key where that column exists. ``files``
+    bounds the number of files, which otherwise is that of the shuffle partitions.
     """
     rows = alerts.withColumn("emit_batch", F.lit(batch_id).cast("bigint"))
+    if files is not None:
+        rows = rows.repartition(files, "zone")
     if fmt == "json":
         if "emit_seq" in rows.columns:
             rows = rows.sortWithinPartitions("zone", "emit_seq")
@@ -163,11 +184,13 @@ def write_batch(alerts: DataFrame, path: str, batch_id: int, fmt: str = "json")
     )
 
 
-def batch_writer(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    path: str, fmt: str = "json", files: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for the log at ``path``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, fmt)
+        write_batch(batch, path, batch_id, fmt, files)
 
     return write
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from spikewatch.config import SurgeConfig
 from spikewatch.operators.baseline import fold_counts
-from spikewatch.operators.windows import window_counts_builtin
+from spikewatch.operators.windows import window_counts_chained
 from spikewatch.schemas import INITIALIZING, NORMAL, SURGE_ALERT
 
 EVALUATION = T.StructType(
@@ -85,11 +85,9 @@ def detect_final(
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + (cfg.lateness_ms if wait_for_late else 0)
     keyed = requests.withColumn("_key", requests[key].cast("string"))
-    windows = window_counts_builtin(
+    windows = window_counts_chained(
         keyed.withWatermark(time, f"{delay} milliseconds"), cfg, "_key", time
     )
-    return (
-        windows.select("zone", "window_end_ms", "request_count", "first_ms")
-        .groupBy("zone")
-        .transformWithState(BaselineProcessor(cfg), EVALUATION, "Append", "None")
+    return windows.groupBy("zone").transformWithState(
+        BaselineProcessor(cfg), EVALUATION, "Append", "None"
     )

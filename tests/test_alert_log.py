@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from spikewatch.schemas import ALERT
@@ -7,6 +8,7 @@ from spikewatch.sources.alert_log import (
     alert_line,
     log_lines,
     log_quality,
+    log_status,
     parse_alerts,
     status_message,
     valid_alerts,
@@ -88,6 +90,10 @@ def test_messages_without_rows(spark):
 def test_missing_log_is_empty(spark, tmp_path):
     lines = log_lines(spark, str(tmp_path / "nothing"))
     assert valid_alerts(parse_alerts(lines)).count() == 0
+    status = log_status(spark, str(tmp_path / "nothing")).first()
+    assert status.message == "Waiting for data file: nothing" and status.valid_lines == 0
+    (tmp_path / "log").write_text(GOOD + "\n")
+    assert log_status(spark, str(tmp_path / "log")).first().message == "Live stream connected."
 
 
 def test_batches_truncate_then_replace_their_own_folder(spark, tmp_path):
@@ -110,7 +116,8 @@ def test_batches_truncate_then_replace_their_own_folder(spark, tmp_path):
     assert stored() == [(0, 1), (1, 2)]
 
 
-def test_rows_keep_their_order_per_zone(spark, tmp_path):
+@pytest.mark.parametrize("files", [None, 2])
+def test_rows_keep_their_order_per_zone(spark, tmp_path, files):
     path = str(tmp_path / "log")
     rows = spark.range(200).select(
         F.timestamp_millis(F.lit(1774288800000) + (F.col("id") % 7) * 5000).alias("timestamp"),
@@ -120,7 +127,9 @@ def test_rows_keep_their_order_per_zone(spark, tmp_path):
         F.lit("NORMAL").alias("status"),
         F.col("id").alias("emit_seq"),
     )
-    write_batch(rows.repartition(3, "zone"), path, 0)
+    write_batch(rows.repartition(3, "zone"), path, 0, files=files)
+    if files:
+        assert len(list((tmp_path / "log" / "emit_batch=0").glob("*.txt"))) <= files
     kept = valid_alerts(parse_alerts(log_lines(spark, path))).orderBy("row_order").collect()
     for zone in "012":
         counts = [r.request_count for r in kept if r.zone == zone]

@@ -8,7 +8,11 @@ from spikewatch.config import SurgeConfig
 from spikewatch.functions.timeline import latest_end, next_end
 from spikewatch.operators import history
 from spikewatch.operators.baseline import ema_baseline
-from spikewatch.operators.windows import window_counts, window_counts_builtin
+from spikewatch.operators.windows import (
+    window_counts,
+    window_counts_builtin,
+    window_counts_chained,
+)
 from spikewatch.plans.detect import as_alerts, detect
 
 SCHEMA = "zone_id string, event_time_millis long"
@@ -111,8 +115,8 @@ def test_against_brute_force(spark, cfg):
     timed = df.withColumn("event_time", F.timestamp_millis("event_time_millis"))
     columns = ["zone", "window_end_ms", "request_count", "first_ms"]
     panes = window_counts(df, cfg).select(columns)
-    builtin = window_counts_builtin(timed, cfg).select(columns)
-    assert sorted(panes.collect()) == sorted(builtin.collect())
+    for other in (window_counts_builtin, window_counts_chained):
+        assert sorted(panes.collect()) == sorted(other(timed, cfg).select(columns).collect())
 
 
 @pytest.mark.parametrize("cfg", CONFIGS)

@@ -153,6 +153,28 @@ def test_final_mode_takes_late_rows_in(spark, tmp_path):
     assert got == rounded({"A": [r for r in in_time if r[0] <= START_MS + 186_000]})["A"]
 
 
+@pytest.mark.parametrize(
+    "cfg",
+    [
+        SurgeConfig(window_seconds=12, slide_seconds=5),
+        SurgeConfig(window_seconds=7, slide_seconds=7, watermark_seconds=0),
+    ],
+)
+def test_final_mode_equals_batch_for_other_windows(spark, tmp_path, cfg):
+    """Whole seconds, so that events sit on pane and window edges; none is too late."""
+    rng = random.Random(5)
+    batches = [
+        [(rng.choice("ab"), START_MS + (i * 10 + rng.randrange(12)) * 1000) for _ in range(9)]
+        for i in range(6)
+    ]
+    newest = max(t for b in batches for _, t in b)
+    whole = batch_rows([r for b in batches for r in b], cfg)
+    feed(tmp_path / "in", batches)
+    got = stored(spark, run(spark, tmp_path, cfg, "final"))
+    limit = newest - cfg.watermark_ms - cfg.lateness_ms
+    assert got == rounded({z: [r for r in rows if r[0] <= limit] for z, rows in whole.items()})
+
+
 def test_json_log_reads_back(spark, tmp_path):
     cfg = SurgeConfig()
     feed(tmp_path / "in", seconds([0, 1, 6], [40], [100]))
