@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spikewatch.config import SurgeConfig
@@ -427,9 +427,9 @@ def busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = events(spark, sf_dir).groupBy("zone_id", hour.alias("hour")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    mean = hourly.groupBy("zone_id").agg(F.floor(F.sum("n") / 24).alias("mean"))
+    mean = F.floor(F.sum("n").over(Window.partitionBy("zone_id")) / 24)
     return (
-        hourly.join(mean, "zone_id")
+        hourly.withColumn("mean", mean)
         .filter(F.col("n") > F.col("mean"))
         .select(
             F.col("zone_id").alias("zone"),

@@ -67,3 +67,10 @@ def test_long_history_shuffles_panes_once(spark):
     df = detect_long(events(spark, SF).filter(F.col("value") >= 0), SurgeConfig())
     final = executed(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def test_audit_scans_twice_only(spark):
+    """Once for the events, once for the arrivals they are compared with."""
+    df = entry_point.queries()["arrival_audit"](spark, SF)
+    final = executed(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2
