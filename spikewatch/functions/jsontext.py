@@ -1,4 +1,4 @@
-"""Column expressions for loosely typed JSON fields.
+"""Loosely typed JSON: one parse per line, and column expressions for its fields.
 
 Fields whose JSON type matters are read as variants and looked at through their JSON
 text, which keeps ``false`` and ``"false"`` apart.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # JSON texts that count as false, besides numeric zero.
@@ -17,6 +17,15 @@ QUOTED_INT = r'^"\s*[+-]?\d+\s*"$'
 QUOTED_NUMBER = r'^"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"$'
 
 
+def parse_once(lines: DataFrame, schema: str, options: dict[str, str]) -> DataFrame:
+    """Add ``_raw``, the JSON of column ``value``.
+
+    Written as the explosion of a one-element array: filters on parsed fields would be
+    pushed below a plain projection and parse every line a second time.
+    """
+    return lines.withColumn("_raw", F.explode(F.array(F.from_json("value", schema, options))))
+
+
 def not_blank(line: Column) -> Column:
     return line.rlike(r"(?U)\S")
 
@@ -30,11 +39,10 @@ def single_object(line: Column) -> Column:
     """
     bare = F.regexp_replace(line, r'"(?:[^"\\]|\\.)*"', "")
     folded = reduce(lambda c, _: F.regexp_replace(c, r"\{[^{}]*\}", "o"), range(8), bare)
-    # More than eight levels deep: leave the verdict to the parser.
-    return (
-        F.when(F.instr(line, "}") == F.length(F.rtrim(line)), True)
-        .when(folded.contains("{"), True)
-        .otherwise(F.trim(folded) == "o")
+    # An open brace is left only beyond eight levels; the parser's verdict stands then.
+    # Used once: a repeated expression would be computed ahead for every line.
+    return F.when(F.instr(line, "}") == F.length(F.rtrim(line)), True).otherwise(
+        folded.rlike(r"^\s*o\s*$|\{")
     )
 
 

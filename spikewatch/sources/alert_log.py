@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from spikewatch.functions.jsontext import (
     missing_names,
     not_blank,
+    parse_once,
     single_object,
     to_integer,
     to_number,
@@ -87,7 +88,7 @@ def parse_alerts(lines: DataFrame) -> DataFrame:
     ``valid_alerts`` without counting as malformed.
     """
     others = [c for c in lines.columns if c not in COLUMNS and c != "value"]
-    raw = lines.withColumn("_raw", F.from_json("value", FIELDS, PARSER))
+    raw = parse_once(lines, FIELDS, PARSER)
     names = ["timestamp", "zone", "request_count", "ema_baseline", "status"]
     typed = raw.select(
         *others,

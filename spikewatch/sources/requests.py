@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spikewatch.functions.jsontext import (
     is_given,
     missing_names,
+    parse_once,
     single_object,
     to_integer,
     truthy,
@@ -32,7 +33,7 @@ def parse_requests(lines: DataFrame) -> DataFrame:
     of ``lines`` are kept.
     """
     others = [c for c in lines.columns if c not in COLUMNS]
-    raw = lines.withColumn("_raw", F.from_json("value", FIELDS, PARSER))
+    raw = parse_once(lines, FIELDS, PARSER)
     explicit = F.col("_raw.event_time_millis")
     event_time = F.when(is_given(explicit), to_integer(explicit)).otherwise(
         parse_iso_millis(F.col("_raw.timestamp"))
