@@ -30,6 +30,20 @@ def run_starts(column: pa.Array) -> list[int]:
     return [0, *(np.flatnonzero(change.to_numpy(zero_copy_only=False)) + 1).tolist()]
 
 
+def in_batches(parts: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Many small batches as fewer, each closed once it holds that many rows."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += part.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def fold_counts(
     counts: list[int], warm: int, average: float | None, alpha: float
 ) -> tuple[list[float], float | None]:

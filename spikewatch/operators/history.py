@@ -144,30 +144,43 @@ def carry_averages(averages: np.ndarray, counts: np.ndarray, alpha: float) -> np
     return averages
 
 
+def _in_batches(tables: Iterator[pa.Table], size: int = 16384) -> Iterator[pa.RecordBatch]:
+    """Many small tables as fewer batches, closed once they hold ``size`` values."""
+    held: list[pa.Table] = []
+    values = 0
+    for table in tables:
+        held.append(table)
+        values += table.nbytes // 8
+        if values >= size:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+            held, values = [], 0
+    if held:
+        yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+
+def _summary(run: pa.Table, alpha: float, warm: int, head: int) -> pa.Table:
+    ends = run.column("window_end_ms").to_numpy()
+    counts = run.column("request_count").to_numpy()
+    enter = leave = np.empty(0)
+    listed = len(counts)
+    if len(counts) > head:
+        inside = enclosed_averages(counts[warm:head], alpha)
+        if len(inside) <= MAX_ENCLOSED:
+            enter, listed = inside, head
+            leave = carry_averages(inside, counts[head:], alpha)
+    return (
+        run.select(["zone", "block", "first_ms"])
+        .slice(0, 1)
+        .append_column("ends", pa.array([ends[:listed]], pa.list_(pa.int64())))
+        .append_column("counts", pa.array([counts[:listed]], pa.list_(pa.int64())))
+        .append_column("enter", pa.array([enter], pa.list_(pa.float64())))
+        .append_column("leave", pa.array([leave], pa.list_(pa.float64())))
+    )
+
+
 def _summarise(alpha: float, warm: int, head: int) -> Callable:
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _block_runs(batches):
-            ends = run.column("window_end_ms").to_numpy()
-            counts = run.column("request_count").to_numpy()
-            enter = leave = np.empty(0)
-            listed = len(counts)
-            if len(counts) > head:
-                inside = enclosed_averages(counts[warm:head], alpha)
-                if len(inside) <= MAX_ENCLOSED:
-                    enter, listed = inside, head
-                    leave = carry_averages(inside, counts[head:], alpha)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    run.column("zone").combine_chunks()[:1],
-                    run.column("block").combine_chunks()[:1],
-                    run.column("first_ms").combine_chunks()[:1],
-                    pa.array([ends[:listed]], pa.list_(pa.int64())),
-                    pa.array([counts[:listed]], pa.list_(pa.int64())),
-                    pa.array([enter], pa.list_(pa.float64())),
-                    pa.array([leave], pa.list_(pa.float64())),
-                ],
-                names=["zone", "block", "first_ms", "ends", "counts", "enter", "leave"],
-            )
+        return _in_batches(_summary(run, alpha, warm, head) for run in _block_runs(batches))
 
     return summarise
 
@@ -195,17 +208,18 @@ def _walk(alpha: float) -> Callable:
     return walk
 
 
+def _folded(run: pa.Table, alpha: float) -> pa.Table:
+    counts = run.column("request_count").to_pylist()
+    warm = int(np.count_nonzero(run.column("warming").to_numpy()))
+    shown, _ = fold_counts(counts, warm, run.column("entering")[0].as_py(), alpha)
+    return run.select(["zone", "window_end_ms", "request_count", "warming"]).append_column(
+        "ema_baseline", pa.array(shown, pa.float64())
+    )
+
+
 def _fold_blocks(alpha: float) -> Callable:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _block_runs(batches):
-            counts = run.column("request_count").to_pylist()
-            warm = int(np.count_nonzero(run.column("warming").to_numpy()))
-            shown, _ = fold_counts(counts, warm, run.column("entering")[0].as_py(), alpha)
-            yield from (
-                run.select(["zone", "window_end_ms", "request_count", "warming"])
-                .append_column("ema_baseline", pa.array(shown, pa.float64()))
-                .to_batches()
-            )
+        return _in_batches(_folded(run, alpha) for run in _block_runs(batches))
 
     return fold
 

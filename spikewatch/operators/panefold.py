@@ -20,9 +20,13 @@ from spikewatch.operators.baseline import (
     classified,
     evaluation_schema,
     fold_counts,
+    in_batches,
     run_starts,
 )
 
+# Rows sent back from Python at a time.
+OUTPUT_ROWS = 65536
+
 
 class PaneWindows:
     """Windows of one key, fed its panes in ascending pieces.
@@ -95,33 +99,38 @@ def _fold_panes(cfg: SurgeConfig) -> Callable:
             names=["zone", "window_end_ms", "request_count", "warming", "ema_baseline"],
         )
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zone, windows, held = None, None, None
+    # A pane leads to at most window / slide windows; this bounds what is held at once.
+    longest = max(1, OUTPUT_ROWS * cfg.slide_ms // cfg.window_ms)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
             zones = batch.column("zone")
+            firsts = batch.column("first_pane")
             columns = [
                 batch.column("pane").to_numpy(),
                 batch.column("n").to_numpy(),
                 batch.column("inside").to_numpy(zero_copy_only=False),
             ]
             starts = run_starts(zones)
-            out = []
-            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
-                piece = [c[lo:hi] for c in columns]
-                if held is not None:
-                    same = zones[lo] == zone
-                    out.append(emit(zone, *windows.feed(*held, last=not same)))
-                if held is None or not same:
-                    zone = zones[lo]
-                    windows = PaneWindows(cfg, batch.column("first_pane")[lo].as_py())
-                held = piece
-            if out:
-                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+            for begin, end in zip(starts, [*starts[1:], batch.num_rows]):
+                for lo in range(begin, end, longest):
+                    hi = min(lo + longest, end)
+                    yield zones[lo], firsts[lo].as_py(), [c[lo:hi] for c in columns]
+
+    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zone, windows, held = None, None, None
+        for next_zone, first_pane, columns in pieces(batches):
+            if held is not None:
+                yield emit(zone, *windows.feed(*held, last=next_zone != zone))
+            if held is None or next_zone != zone:
+                zone, windows = next_zone, PaneWindows(cfg, first_pane)
+            held = columns
         if held is not None:
             yield emit(zone, *windows.feed(*held, last=True))
 
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return in_batches(evaluate(batches), OUTPUT_ROWS)
+
     return fold
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from model import START_MS, Model, batch_rows, ends_of, replay
 from spikewatch.config import SurgeConfig
 from spikewatch.functions.timeline import latest_end, next_end
-from spikewatch.operators import history
+from spikewatch.operators import history, panefold
 from spikewatch.operators.baseline import ema_baseline
 from spikewatch.operators.windows import (
     window_counts,
@@ -137,6 +137,15 @@ def test_passes_in_small_pieces(spark, cfg, batch):
         spark.conf.set(name, before)
 
 
+@pytest.mark.parametrize("rows_out", [1, 5])
+def test_bounded_output_pieces(monkeypatch, spark, rows_out):
+    monkeypatch.setattr(panefold, "OUTPUT_ROWS", rows_out)
+    rng = random.Random(rows_out)
+    rows = random_rows(rng, 120, 300_000, 1000)
+    for cfg in CONFIGS:
+        assert by_zone(detect(spark.createDataFrame(rows, SCHEMA), cfg)) == batch_rows(rows, cfg)
+
+
 def test_literal_key(spark):
     rows = [row for batch in replay(60) for row in batch if row[0] == "Airport"]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("all", F.lit("Airport"))
