@@ -6,30 +6,57 @@ from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from spikewatch.config import SurgeConfig
-from spikewatch.operators.baseline import fold_counts
+from spikewatch.operators.baseline import fold_counts, status_of
 from spikewatch.operators.windows import window_counts_chained
-from spikewatch.schemas import INITIALIZING, NORMAL, SURGE_ALERT
 
-EVALUATION = T.StructType(
+# What a processor returns for a key: arrays over the windows fired, since single rows
+# from Python cost far more than array elements do.
+FIRED = T.StructType(
     [
         T.StructField("zone", T.StringType()),
-        T.StructField("window_end_ms", T.LongType()),
-        T.StructField("request_count", T.LongType()),
-        T.StructField("ema_baseline", T.DoubleType()),
-        T.StructField("status", T.StringType()),
+        T.StructField("window_end_ms", T.ArrayType(T.LongType())),
+        T.StructField("request_count", T.ArrayType(T.LongType())),
+        T.StructField("ema_baseline", T.ArrayType(T.DoubleType())),
+        T.StructField("warm", T.LongType()),
         T.StructField("emit_seq", T.LongType()),
     ]
 )
 
 
-def status_text(count: int, baseline: float, warming: bool, threshold: float) -> str:
-    if warming:
-        return INITIALIZING
-    return SURGE_ALERT if count > threshold * baseline else NORMAL
+def fired(
+    zone: str, ends: list[int], counts: list[int], shown: list[float], warm: int, seq: int
+) -> Row:
+    """The first ``warm`` windows are warming up; ``seq`` is the first one's ``emit_seq``."""
+    return Row(
+        zone=zone,
+        window_end_ms=ends,
+        request_count=counts,
+        ema_baseline=shown,
+        warm=warm,
+        emit_seq=seq,
+    )
+
+
+def one_per_window(rows: DataFrame, cfg: SurgeConfig) -> DataFrame:
+    """Evaluations ``zone, window_end_ms, request_count, ema_baseline, status, emit_seq``."""
+    arrays = F.arrays_zip("window_end_ms", "request_count", "ema_baseline")
+    exploded = rows.select("zone", "warm", "emit_seq", F.posexplode(arrays).alias("at", "window"))
+    count, baseline = F.col("window.request_count"), F.col("window.ema_baseline")
+    return exploded.select(
+        "zone",
+        "window.window_end_ms",
+        "window.request_count",
+        "window.ema_baseline",
+        status_of(count, baseline, F.col("at") < F.col("warm"), cfg.surge_threshold).alias(
+            "status"
+        ),
+        (F.col("emit_seq") + F.col("at")).alias("emit_seq"),
+    )
 
 
 class BaselineProcessor(StatefulProcessor):
@@ -53,16 +80,8 @@ class BaselineProcessor(StatefulProcessor):
         warm = sum(end <= warm_until for end, _, _ in windows)
         counts = [count for _, count, _ in windows]
         shown, average = fold_counts(counts, warm, average, cfg.alpha)
-        for i, ((end, count, _), baseline) in enumerate(zip(windows, shown)):
-            status = status_text(count, baseline, i < warm, cfg.surge_threshold)
-            yield Row(
-                zone=key[0],
-                window_end_ms=end,
-                request_count=count,
-                ema_baseline=baseline,
-                status=status,
-                emit_seq=seq + i,
-            )
+        ends = [end for end, _, _ in windows]
+        yield fired(key[0], ends, counts, shown, warm, seq)
         self.state.update((average, warm_until, seq + len(windows)))
 
     def close(self) -> None:
@@ -88,6 +107,7 @@ def detect_final(
     windows = window_counts_chained(
         keyed.withWatermark(time, f"{delay} milliseconds"), cfg, "_key", time
     )
-    return windows.groupBy("zone").transformWithState(
-        BaselineProcessor(cfg), EVALUATION, "Append", "None"
+    rows = windows.groupBy("zone").transformWithState(
+        BaselineProcessor(cfg), FIRED, "Append", "None"
     )
+    return one_per_window(rows, cfg)

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from spikewatch.config import SurgeConfig
 from spikewatch.functions.timeline import align_down, latest_end, next_end
 from spikewatch.operators.baseline import fold_counts
-from spikewatch.streaming.final import EVALUATION, status_text
+from spikewatch.streaming.final import FIRED, fired, one_per_window
 
 # Spark discards rows behind its own watermark before a processor sees them, yet even the
 # oldest row may lower a key's first event time. Spark's watermark is therefore held this
@@ -41,29 +41,42 @@ def state_pane_ms(cfg: SurgeConfig) -> int:
 
 
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fate = ["zone", "pane", "next_end", "latest_end"]
     for batch in batches:
-        grouped = (
+        alike = (
             pa.Table.from_batches([batch])
-            .group_by(["zone", "pane", "next_end", "latest_end"])
+            .group_by(fate)
             .aggregate([("t", "count"), ("t", "min"), ("t", "max")])
         )
-        newest = pc.multiply(grouped.column("t_max"), 1000).cast(pa.timestamp("us", tz="UTC"))
-        yield from (
-            grouped.select(["zone", "pane", "next_end", "latest_end"])
-            .append_column("n", grouped.column("t_count"))
-            .append_column("first_ms", grouped.column("t_min"))
-            .append_column("event_time", newest)
-            .combine_chunks()
-            .to_batches()
+        keys = alike.group_by("zone").aggregate(
+            [
+                ("pane", "list"),
+                ("next_end", "list"),
+                ("latest_end", "list"),
+                ("t_count", "list"),
+                ("t_min", "min"),
+                ("t_max", "max"),
+            ]
         )
+        newest = pc.multiply(keys.column("t_max_max"), 1000).cast(pa.timestamp("us", tz="UTC"))
+        columns = {
+            "zone": keys.column("zone"),
+            "pane": keys.column("pane_list"),
+            "next_end": keys.column("next_end_list"),
+            "latest_end": keys.column("latest_end_list"),
+            "n": keys.column("t_count_list"),
+            "first_ms": keys.column("t_min_min"),
+            "event_time": newest,
+        }
+        yield from pa.table(columns).combine_chunks().to_batches()
 
 
 def collapsed(requests: DataFrame, cfg: SurgeConfig, key: str, time: str) -> DataFrame:
     """Requests reduced inside each partition, before the shuffle by key.
 
-    Events of one pane with the same first and last window share their fate, so a hot
-    key sends a handful of rows per task and not one per event. ``event_time`` is the
-    newest time in a row, which leaves the watermark as it was.
+    Events of one pane with the same first and last window share their fate, so a batch of
+    events becomes one row per key with a few array elements, however hot the key.
+    ``event_time`` is the newest time in a row, which leaves the watermark as it was.
     """
     t = F.col("t")
     return (
@@ -77,8 +90,8 @@ def collapsed(requests: DataFrame, cfg: SurgeConfig, key: str, time: str) -> Dat
         )
         .mapInArrow(
             _collapse,
-            "zone string, pane bigint, next_end bigint, latest_end bigint, n bigint, "
-            "first_ms bigint, event_time timestamp",
+            "zone string, pane array<bigint>, next_end array<bigint>, "
+            "latest_end array<bigint>, n array<bigint>, first_ms bigint, event_time timestamp",
         )
     )
 
@@ -144,15 +157,7 @@ class RefireProcessor(StatefulProcessor):
         # The first window of a key has no average to compare with.
         warm = max(bisect_right(due, warm_until), int(state.average is None))
         shown, state.average = fold_counts(counts, warm, state.average, cfg.alpha)
-        for i, (end, count, baseline) in enumerate(zip(due, counts, shown)):
-            yield Row(
-                zone=zone,
-                window_end_ms=end,
-                request_count=count,
-                ema_baseline=baseline,
-                status=status_text(count, baseline, i < warm, cfg.surge_threshold),
-                emit_seq=state.emit_seq + i,
-            )
+        yield fired(zone, due, counts, shown, warm, state.emit_seq)
         state.emit_seq += len(due)
         # Each firing prunes; the last one of an ascending pass prunes the most.
         gone = bisect_left(state.panes, due[-1] - cfg.window_ms - cfg.lateness_ms)
@@ -165,10 +170,11 @@ class RefireProcessor(StatefulProcessor):
         for row in rows:
             if state.first_ms is None or row.first_ms < state.first_ms:
                 state.first_ms = row.first_ms
-            if watermark is not None and watermark > row.latest_end + cfg.lateness_ms:
-                continue
-            panes[row.pane] = panes.get(row.pane, 0) + row.n
-            pending.update(range(row.next_end, row.latest_end + 1, cfg.slide_ms))
+            for pane, earliest, latest, n in zip(row.pane, row.next_end, row.latest_end, row.n):
+                if watermark is not None and watermark > latest + cfg.lateness_ms:
+                    continue
+                panes[pane] = panes.get(pane, 0) + n
+                pending.update(range(earliest, latest + 1, cfg.slide_ms))
         state.panes = sorted(panes)
         state.counts = [panes[pane] for pane in state.panes]
         state.pending = sorted(pending)
@@ -221,9 +227,10 @@ def detect_refire(
     """Evaluations in emission order per key, in update mode; needs RocksDB state."""
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + hold_back_ms(cfg)
-    return (
+    rows = (
         collapsed(requests, cfg, key, time)
         .withWatermark("event_time", f"{delay} milliseconds")
         .groupBy("zone")
-        .transformWithState(RefireProcessor(cfg), EVALUATION, "Update", "EventTime")
+        .transformWithState(RefireProcessor(cfg), FIRED, "Update", "EventTime")
     )
+    return one_per_window(rows, cfg)
