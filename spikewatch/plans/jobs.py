@@ -30,19 +30,20 @@ def start_job(
     fmt: str = "json",
     files: int | None = None,
     until_caught_up: bool = False,
-    **columns: str,
+    **options: str | bool,
 ) -> StreamingQuery:
     """Start detection over a stream with an ``event_time`` column.
 
     ``until_caught_up`` processes what is there and stops. The log at ``path`` is
     truncated when the job starts with a fresh checkpoint and continued otherwise;
-    ``files`` bounds the files per micro-batch.
+    ``files`` bounds the files per micro-batch. Other options go to the mode: ``key``,
+    ``time``, and ``wait_for_late`` in final mode.
     """
     cfg = cfg or SurgeConfig()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(sorted(MODES))}")
     configure(requests.sparkSession, cfg)
-    evaluations = MODES[mode](requests, cfg, **columns)
+    evaluations = MODES[mode](requests, cfg, **options)
     writer = (
         as_alerts(evaluations)
         .writeStream.outputMode("append" if mode == "final" else "update")

@@ -35,11 +35,11 @@ def feed(folder, batches, start=0):
         os.utime(path, (1_700_000_000 + i * 10,) * 2)
 
 
-def run(spark, tmp_path, cfg, mode, fmt="parquet"):
+def run(spark, tmp_path, cfg, mode, fmt="parquet", **options):
     lines = stream_lines(spark, "text", path=str(tmp_path / "in"), maxFilesPerTrigger="1")
     log, checkpoint = str(tmp_path / f"{mode}-log"), str(tmp_path / f"{mode}-cp")
     start_job(
-        requests_of(lines), log, checkpoint, cfg, mode, fmt, until_caught_up=True
+        requests_of(lines), log, checkpoint, cfg, mode, fmt, until_caught_up=True, **options
     ).awaitTermination()
     return log
 
@@ -153,6 +153,13 @@ def test_final_mode_takes_late_rows_in(spark, tmp_path):
     assert got == rounded({"A": [r for r in in_time if r[0] <= START_MS + 186_000]})["A"]
 
 
+def test_final_mode_can_give_late_rows_up(spark, tmp_path):
+    cfg = SurgeConfig(window_seconds=5)
+    feed(tmp_path / "in", seconds([1, 2], [12], [14], [3], [60]))
+    got = stored(spark, run(spark, tmp_path, cfg, "final", wait_for_late=False))["A"]
+    assert [((t - START_MS) // 1000, n) for t, n, *_ in got] == [(5, 2), (15, 2)]
+
+
 @pytest.mark.parametrize(
     "cfg",
     [
