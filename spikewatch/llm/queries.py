@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikewatch.llm import bpe, packing, token_counts
+from spikewatch.llm import bpe, host_reputation, language, packing, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+URL_RULES = [
+    host_reputation.rule("allow", "com/"),
+    host_reputation.rule("block", "example.com/en/"),
+    host_reputation.rule("allow", "www.example.com/en/"),
+    host_reputation.rule("block", "net/es/"),
+    host_reputation.rule("block", "net/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +49,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "counts.n_pretokens", "counts.n_tokens")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judge_documents(docs)
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lost_words"
+    return judged.select("doc_id", *(f"quality.{name}" for name in names.split()))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 4096 tokens."""
     path = public_tokenizers.path(WORD_BPE)
@@ -57,10 +72,31 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of rules and host reputation for every page."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    judged = host_reputation.judge_urls(pages, labels, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language.fit(docs.filter(~held_out))
+    found = docs.select(
+        "doc_id", held_out.alias("held_out"), language.predict(F.col("text"), model).alias("found")
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
+    "op4_quality_rules": op4_quality_rules,
     "op7_packing": op7_packing,
+    "op8_url_filter": op8_url_filter,
+    "op10_language": op10_language,
 }
 
 SQL: dict[str, str] = {}
