@@ -24,6 +24,8 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Texts go to Python in batches of bounded size, however long they are.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
