@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikewatch.llm import bpe, host_reputation, language, packing, quality_rules, token_counts
+from spikewatch.llm import (
+    bpe,
+    host_reputation,
+    language,
+    packing,
+    quality_rules,
+    substrings,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +59,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "counts.n_pretokens", "counts.n_tokens")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that lie in repeated 35-word windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,6 +111,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
