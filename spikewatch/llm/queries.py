@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spikewatch.llm import (
     bpe,
     host_reputation,
+    jaccard_forest,
     language,
     packing,
     quality_rules,
@@ -97,6 +98,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at a similarity of 0.8 or more."""
+    return jaccard_forest.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -115,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language": op10_language,
 }
 
