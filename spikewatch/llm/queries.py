@@ -14,6 +14,7 @@ from spikewatch.llm import (
     jaccard_forest,
     language,
     packing,
+    posting_lists,
     quality_rules,
     substrings,
     token_counts,
@@ -76,6 +77,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"quality.{name}" for name in names.split()))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found to every fiftieth vector."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return posting_lists.neighbours(rows, F.col("vec_id") % 50 == 0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 4096 tokens."""
     path = public_tokenizers.path(WORD_BPE)
@@ -119,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op6_nearest": op6_nearest,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
