@@ -12,6 +12,7 @@ from spikewatch.llm import (
     bpe,
     host_reputation,
     jaccard_forest,
+    kneser_ney,
     language,
     packing,
     posting_lists,
@@ -77,6 +78,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"quality.{name}" for name in names.split()))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document under a model of the trusted ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    given = docs.select("doc_id", "text", "lang")
+    judged = kneser_ney.judge_documents(given, labels, ["doc_id", "lang"])
+    return judged.withColumnRenamed("accepted", "kept")
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest found to every fiftieth vector."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -126,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_nearest": op6_nearest,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,

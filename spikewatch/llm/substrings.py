@@ -25,26 +25,21 @@ empty result. Texts of any length are read whole; one text is at most one chunk
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spikewatch.llm.batches import offsets_of, ragged, text_sizes
-from spikewatch.llm.tables import keep
+from spikewatch.llm.batches import offsets_of, pack_rising, ragged, unpack_rising
+from spikewatch.llm.tables import chunked, keep
 from spikewatch.llm.words import WordHashes, window_hashes, word_hashes
-from spikewatch.session import shared_dir
 
 WINDOW = 35
 BLOCK = 18
 CHUNK_BYTES = 4 << 20
-# Chunks a task can number.
-CHUNKS = 1 << 33
 PROBE_BITS = 48
 # Words that one task of a hash range should compare.
 WORDS_PER_RANGE = 3_000_000
@@ -53,21 +48,6 @@ SENT = "range int, chunk long, count long, keys binary, more binary, flags binar
 REPLY = "chunk long, step int, range int, count long, bits binary"
 
 
-def pack_rising(keys: np.ndarray) -> bytes:
-    """Rising numbers as differences, byte by byte, the highest bytes that are all zero left out."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    width = (int(steps.max()).bit_length() + 7) // 8 if len(steps) else 0
-    return steps.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-
-
-def unpack_rising(data: bytes, count: int) -> np.ndarray:
-    steps = np.zeros((count, 8), np.uint8)
-    if count:
-        planes = np.frombuffer(data, np.uint8).reshape(-1, count)
-        steps[:, : len(planes)] = planes.T
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
-
-
 def pack_bits(bits: np.ndarray) -> bytes:
     return np.packbits(bits.astype(bool)).tobytes()
 
@@ -214,23 +194,6 @@ def _answer(replies: pa.Table, step: int) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, bool)
 
 
-def _chunked(docs: DataFrame) -> DataFrame:
-    """The rows with ``chunk``, the same for neighbours of about ``CHUNK_BYTES`` in all."""
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, total = TaskContext.get().partitionId() * CHUNKS, 0
-        for batch in batches:
-            sizes = text_sizes(batch.column(at)) + 64
-            chunk = first + (total + np.cumsum(sizes) - sizes) // CHUNK_BYTES
-            total += int(sizes.sum())
-            names = [*batch.schema.names, "chunk"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk)], names=names)
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("chunk", T.LongType())])
-    return docs.mapInArrow(run, schema)
-
-
 def _texts(rows: pa.Table) -> list[bytes | None]:
     return rows["text"].cast(pa.binary()).to_pylist()
 
@@ -255,16 +218,8 @@ def remove_repeats(
     columns = [c for c in docs.columns if c != text] if columns is None else columns
     renamed = [F.col(f"`{name}`").alias(f"c{n}") for n, name in enumerate(columns)]
     n_columns = len(columns)
-    given = _chunked(docs.select(F.col(text).alias("text"), *renamed))
+    table = chunked(docs.select(F.col(text).alias("text"), *renamed), CHUNK_BYTES)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"repeats_{uuid.uuid4().hex}"
-    (
-        given.write.bucketBy(buckets, "chunk")
-        .option("path", shared_dir(spark, "chunks"))
-        .option("compression", "zstd")
-        .saveAsTable(name)
-    )
-    table = spark.table(name)
     size = F.sum(F.octet_length("text")).alias("size")
     total = table.agg(size).first()["size"] or 0
     ranges = max(buckets, total // (6 * WORDS_PER_RANGE) + 1)
