@@ -193,4 +193,7 @@ def judge_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         kept.alias("kept"),
     )
     own = [name for name in docs.columns if name != "quality"]
-    return steps.select(*(F.col(f"`{name}`") for name in own), quality.alias("quality"))
+    # Exploded from an array of one, as a filter on the result would otherwise be pushed below
+    # the steps, with all of them written out in it.
+    one = F.explode(F.array(quality)).alias("quality")
+    return steps.select(*(F.col(f"`{name}`") for name in own), one)

@@ -34,9 +34,13 @@ URL_RULES = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Texts go to Python in batches of bounded size, however long they are.
+def bound_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of bounded size, however long they are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
