@@ -6,8 +6,6 @@ text, which keeps ``false`` and ``"false"`` apart.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,15 +32,20 @@ def single_object(line: Column) -> Column:
     """Whether nothing but one JSON object is on the line.
 
     The JSON parser stops at the end of the first object. A line whose first closing
-    brace is its last character needs no more checking; on others, quoted text is cut
-    out and objects are folded from the inside until one mark should remain.
+    brace is its last character needs no more checking. Others are parsed once more as the
+    one element of an array, which leaves only a bracket possible after the object, and
+    as the one field of an object, which leaves only a brace.
     """
-    bare = F.regexp_replace(line, r'"(?:[^"\\]|\\.)*"', "")
-    folded = reduce(lambda c, _: F.regexp_replace(c, r"\{[^{}]*\}", "o"), range(8), bare)
-    # An open brace is left only beyond eight levels; the parser's verdict stands then.
+    in_array = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<variant>")
+    in_object = F.from_json(
+        F.concat(F.lit('{"o":'), line, F.lit("}")),
+        "o variant, _corrupt string",
+        {"columnNameOfCorruptRecord": "_corrupt"},
+    )
+    alone = (F.size(in_array) == 1) & in_object["_corrupt"].isNull() & in_object["o"].isNotNull()
     # Used once: a repeated expression would be computed ahead for every line.
     return F.when(F.instr(line, "}") == F.length(F.rtrim(line)), True).otherwise(
-        folded.rlike(r"^\s*o\s*$|\{")
+        F.coalesce(alone, F.lit(False))
     )
 
 

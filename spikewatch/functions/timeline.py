@@ -43,6 +43,19 @@ def iso_utc(ms: Column) -> Column:
     return F.when(F.pmod(ms, F.lit(1000)) == 0, whole).otherwise(fraction)
 
 
+# Dates with or without a time of day, seconds, a fraction and an offset. What a cast reads
+# beyond these would depend on the day it runs (a time alone) or on a zone's rules (its name).
+ISO_TEXT = (
+    r"^\d{4}-\d{2}-\d{2}"
+    r"([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}(:\d{2}(:\d{2})?)?)?)?$"
+)
+
+
+def parse_iso(text: Column) -> Column:
+    """Timestamp of ISO-8601 text in extended form, null when unreadable; no offset means UTC."""
+    return F.when(text.rlike(ISO_TEXT), F.try_to_timestamp(text))
+
+
 def parse_iso_millis(text: Column) -> Column:
-    """Epoch milliseconds of ISO-8601 text, null when unreadable; no offset means UTC."""
-    return F.unix_millis(F.try_to_timestamp(text))
+    """The same in epoch milliseconds."""
+    return F.unix_millis(parse_iso(text))

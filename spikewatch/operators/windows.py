@@ -117,36 +117,3 @@ def window_counts_builtin(
         .filter(caused(cfg))
         .select("zone", "window_end_ms", "request_count", "first_ms")
     )
-
-
-def window_counts_chained(
-    events: DataFrame,
-    cfg: SurgeConfig,
-    key: str = "zone_id",
-    time: str = "event_time",
-) -> DataFrame:
-    """The same counts for streams: ``window()`` panes first, then windows of panes.
-
-    ``window()`` copies each row once per window it falls in. Here it copies pane rows,
-    once their pane has closed, and events only meet a tumbling window.
-    """
-    if cfg.is_tumbling:
-        return window_counts_builtin(events, cfg, key, time)
-    pane = F.window(F.col(time), f"{cfg.pane_ms} milliseconds")
-    return (
-        events.groupBy(F.col(key).alias("zone"), pane.alias("pane"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.unix_millis(F.col(time))).alias("pane_first_ms"),
-            F.max(F.unix_millis(F.col(time))).alias("pane_last_ms"),
-        )
-        .groupBy("zone", window_span("pane", cfg).alias("span"))
-        .agg(
-            F.sum("n").alias("request_count"),
-            F.min("pane_first_ms").alias("first_ms"),
-            F.max("pane_last_ms").alias("last_ms"),
-        )
-        .withColumn("window_end_ms", F.unix_millis("span.end"))
-        .filter(caused(cfg))
-        .select("zone", "window_end_ms", "request_count", "first_ms")
-    )

@@ -160,7 +160,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
     explicit = F.format_string('"event_time_millis":%d', F.col("event_time_millis"))
-    way = F.floor(number / 97) % 10
+    way = F.floor(number / 97) % 17
+    nested = F.lit('{"a":' * 9 + "1" + "}" * 9 + " trailing")
     damaged = (
         F.when(way == 0, F.concat(F.lit("{"), ride, F.lit(","), zone))
         .when(way == 1, line(ride, time, late))
@@ -171,6 +172,13 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(way == 6, line(zone, late))
         .when(way == 7, F.concat(line(ride, zone, time), line(ride, zone, time)))
         .when(way == 8, line(ride, zone, time))
+        .when(way == 9, F.concat(line(ride, zone, time), F.lit('{"ride_id":"r2","zone_id":"z","times')))
+        .when(way == 10, F.concat(line(ride, zone, time), F.lit("{")))
+        .when(way == 11, F.concat(line(ride, zone, time), F.lit(" {{{ junk")))
+        .when(way == 12, nested)
+        .when(way == 13, line(ride, zone, F.lit('"timestamp":"12:30"'), late))
+        .when(way == 14, line(ride, zone, F.lit('"timestamp":"2024"'), late))
+        .when(way == 15, line(ride, zone, F.lit('"timestamp":"2024-01-05T10:00:00 America/New_York"')))
         .otherwise(line(ride, zone, F.lit('"timestamp":"soon"'), explicit))
     )
     whole = F.when(number % 5 == 0, line(ride, zone, time, explicit, late)).otherwise(
@@ -259,6 +267,8 @@ def damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(way == 4, F.regexp_replace(good, r'"request_count":(\d+)', '"request_count":"$1"'))
         .when(way == 5, F.regexp_replace(good, r'"request_count":(\d+)', '"request_count":$1.75'))
         .when(way == 6, F.regexp_replace(good, r'"request_count":(\d+)', '"request_count":"$1.5"'))
+        .when(way == 7, F.concat(good, F.substring(good, 1, 40)))
+        .when(way == 8, F.concat(good, F.lit(" {{{ junk")))
         .otherwise(good)
     )
     order = F.struct("timestamp", "zone").alias("row_order")
@@ -488,29 +498,42 @@ def stream_refire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, sf_dir, "refire")
 
 
-def stream_refire_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replay in arrival order, ten days at a time: late events re-fire windows or drop."""
+# Seconds of arrivals in one part of the replay.
+PART_S = 10 * DAY
+
+
+def _replayed(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Replay in arrival order, ten days at a time: late rows come with later parts."""
     configure(spark)
     staged, feed = shared_dir(spark, "replay"), shared_dir(spark, "feed")
     path, checkpoint = shared_dir(spark, "replay-log"), shared_dir(spark, "replay-checkpoint")
-    parts = arrivals(spark, sf_dir).select(
+    arrivals(spark, sf_dir).select(
         "zone_id",
         F.timestamp_millis("event_time_millis").alias("event_time"),
-        F.floor(F.col("arrival") / (10 * DAY)).alias("part"),
-    )
-    parts.write.partitionBy("part").parquet(staged)
+        F.floor(F.col("arrival") / PART_S).alias("part"),
+    ).write.partitionBy("part").parquet(staged)
     whole = spark.read.parquet(staged)
-    # One number per ten days of data.
-    for row in whole.select("part").distinct().orderBy("part").collect():
-        part = whole.filter(F.col("part") == row["part"]).drop("part")
+    span = whole.agg(F.min("part").alias("first"), F.max("part").alias("last")).first()
+    for number in range(span["first"], span["last"] + 1) if span["first"] is not None else ():
+        part = whole.filter(F.col("part") == number).drop("part")
         part.write.mode("append").parquet(feed)
         stream = spark.readStream.schema(part.schema).parquet(feed)
         start_job(
-            stream, path, checkpoint, LATE, "refire", "parquet", until_caught_up=True
+            stream, path, checkpoint, LATE, mode, "parquet", until_caught_up=True
         ).awaitTermination()
     return _stored(spark, path)
 
 
+def stream_refire_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows make windows fire again, or are dropped."""
+    return _replayed(spark, sf_dir, "refire")
+
+
+def stream_final_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows count in the windows still open."""
+    return _replayed(spark, sf_dir, "final")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -554,5 +577,6 @@ QUERIES: dict[str, Query] = {
         stream_final,
         stream_refire,
         stream_refire_late,
+        stream_final_late,
     )
 }

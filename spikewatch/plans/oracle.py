@@ -13,6 +13,7 @@ from spikewatch.plans.catalog import (
     DAY,
     HOUR,
     LATE,
+    PART_S,
     RERUN_FROM,
     TUMBLING,
     UNEVEN,
@@ -107,7 +108,7 @@ lines AS (
   SELECT CASE WHEN event_id % 97 <> 0 THEN
       CASE WHEN event_id % 5 = 0 THEN {_line(RIDE, ZONE, TIME, MILLIS, FLAG)}
       ELSE {_line(RIDE, ZONE, TIME, FLAG)} END
-    ELSE CASE (event_id // 97) % 10
+    ELSE CASE (event_id // 97) % 17
       WHEN 0 THEN '{{' || {RIDE} || ',' || {ZONE}
       WHEN 1 THEN {_line(RIDE, TIME, FLAG)}
       WHEN 2 THEN {_line(RIDE, ZONE, SOON, FLAG)}
@@ -117,6 +118,13 @@ lines AS (
       WHEN 6 THEN {_line(ZONE, FLAG)}
       WHEN 7 THEN {_line(RIDE, ZONE, TIME)} || {_line(RIDE, ZONE, TIME)}
       WHEN 8 THEN {_line(RIDE, ZONE, TIME)}
+      WHEN 9 THEN {_line(RIDE, ZONE, TIME)} || '{{"ride_id":"r2","zone_id":"z","times'
+      WHEN 10 THEN {_line(RIDE, ZONE, TIME)} || '{{'
+      WHEN 11 THEN {_line(RIDE, ZONE, TIME)} || ' {{{{{{ junk'
+      WHEN 12 THEN repeat('{{"a":', 9) || '1' || repeat('}}', 9) || ' trailing'
+      WHEN 13 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"12:30"' + "'", FLAG)}
+      WHEN 14 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"2024"' + "'", FLAG)}
+      WHEN 15 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"2024-01-05T10:00:00 America/New_York"' + "'")}
       ELSE {_line(RIDE, ZONE, SOON, MILLIS)} END END AS value
   FROM events)"""
 
@@ -130,6 +138,8 @@ fields AS (
     json_extract_string(j, '$.timestamp') AS "timestamp",
     CASE WHEN json_extract_string(j, '$.event_time_millis') IS NOT NULL
       THEN CAST(trunc(CAST(json_extract_string(j, '$.event_time_millis') AS DOUBLE)) AS BIGINT)
+      -- The cast alone would take the names of zones.
+      WHEN contains(json_extract_string(j, '$.timestamp'), '/') THEN NULL
       ELSE epoch_ms(TRY_CAST(replace(json_extract_string(j, '$.timestamp'), 'Z', '') AS TIMESTAMP))
       END AS event_time_millis,
     coalesce(CASE json_type(j, '$.is_simulated_late')
@@ -173,6 +183,8 @@ damaged AS (
     WHEN 4 THEN replace(line, {_COUNT}, '"request_count":"' || c || '"')
     WHEN 5 THEN replace(line, {_COUNT}, {_COUNT} || '.75')
     WHEN 6 THEN replace(line, {_COUNT}, '"request_count":"' || c || '.5"')
+    WHEN 7 THEN line || substring(line, 1, 40)
+    WHEN 8 THEN line || ' {{{{{{ junk'
     ELSE line END AS value FROM good),
 log AS (
   SELECT *, json_valid(value) AS ok, CASE WHEN json_valid(value) THEN value ELSE '{{}}' END AS j
@@ -272,6 +284,85 @@ SELECT zone, {iso('t')} AS window_end, c AS request_count, {CENTS} AS ema_baseli
 FROM out WHERE t <= (SELECT max({MS}) FROM events) - {delay_ms}"""
 
 
+# Replays in parts. A part's rows are judged by the watermark of the parts before it; when the
+# part is through, windows up to its own watermark fire.
+
+
+def _parts(delay_ms: int) -> str:
+    """CTEs up to ``judged(zone, e, p, wm, next_t, last_t)`` and ``marks(p, wm, before)``."""
+    w, s = LATE.window_ms, LATE.slide_ms
+    return f"""{ARRIVALS},
+parted AS (SELECT zone, e, arrival // {PART_S} AS p FROM arrived),
+newest AS (SELECT p, max(max(e)) OVER (ORDER BY p) - {delay_ms} AS wm FROM parted GROUP BY p),
+marks AS (SELECT p, wm, lag(wm) OVER (ORDER BY p) AS before FROM newest),
+judged AS (
+  SELECT zone, e, p, m.before AS wm, {floor_to('e', s)} + {s} AS next_t,
+    greatest({floor_to('e', s)} + {s}, {floor_to(f'e + {w - 1}', s)}) AS last_t
+  FROM parted JOIN marks m USING (p)),
+firsts AS (SELECT zone, p, min(min(e)) OVER (PARTITION BY zone ORDER BY p) AS first_e
+  FROM judged GROUP BY zone, p)"""
+
+
+def _averaged(order: str) -> str:
+    """CTEs from ``counted(zone, t, c, p, ...)`` to the rows of a log, in firing order."""
+    a, keep = f"CAST({LATE.alpha!r} AS DOUBLE)", f"CAST({1 - LATE.alpha!r} AS DOUBLE)"
+    thr = f"CAST({float(LATE.surge_threshold)!r} AS DOUBLE)"
+    return f"""num AS (
+  SELECT zone, t, CAST(c AS DOUBLE) AS c, row_number() OVER (PARTITION BY zone ORDER BY {order}) AS rn,
+    t <= (SELECT min(first_e) FROM firsts f WHERE f.zone = counted.zone AND f.p <= counted.p)
+      + {LATE.window_ms} AS warm
+  FROM counted),
+ema AS (
+  SELECT zone, rn, t, c, true AS warm, c AS base, c AS avg_after FROM num WHERE rn = 1
+  UNION ALL
+  SELECT n.zone, n.rn, n.t, n.c, n.warm, CASE WHEN n.warm THEN n.c ELSE m.avg_after END,
+    CASE WHEN n.warm THEN n.c ELSE {a} * n.c + {keep} * m.avg_after END
+  FROM ema m JOIN num n ON n.zone = m.zone AND n.rn = m.rn + 1)
+SELECT zone, {iso('t')} AS window_end, CAST(c AS BIGINT) AS request_count,
+  {CENTS} AS ema_baseline, CASE WHEN warm THEN 'INITIALIZING'
+    WHEN c > {thr} * base THEN 'SURGE_ALERT' ELSE 'NORMAL' END AS status, rn - 1 AS emit_seq
+FROM ema"""
+
+
+def replay_final() -> str:
+    w, s = LATE.window_ms, LATE.slide_ms
+    return f"""WITH RECURSIVE {_parts(LATE.watermark_ms + LATE.lateness_ms)},
+held AS (SELECT *, unnest(range(next_t, {floor_to(f'e + {w}', s)} + 1, {s})) AS t FROM judged),
+win AS (
+  SELECT zone, t, count(*) AS c FROM held WHERE wm IS NULL OR t > wm
+  GROUP BY zone, t HAVING {w} = {s} OR max(e) > t - {w}),
+counted AS (
+  SELECT zone, t, c, (SELECT min(p) FROM marks m WHERE m.wm >= win.t) AS p FROM win
+  WHERE t <= (SELECT max(wm) FROM marks)),
+{_averaged('t')}"""
+
+
+def replay_refire() -> str:
+    """Passes are numbered ``2 p`` for late rows' windows and ``2 p + 1`` for the new ones."""
+    w, s, late = LATE.window_ms, LATE.slide_ms, LATE.lateness_ms
+    return f"""WITH RECURSIVE {_parts(LATE.watermark_ms)},
+admitted AS (SELECT * FROM judged WHERE wm IS NULL OR wm <= last_t + {late}),
+caused AS (SELECT zone, p, wm, unnest(range(next_t, last_t + 1, {s})) AS t FROM admitted),
+fired AS (
+  SELECT DISTINCT zone, t, p, 2 * p AS pass FROM caused WHERE t <= wm
+  UNION ALL
+  SELECT zone, t, p, 2 * p + 1 FROM (
+    SELECT c.zone, c.t, (SELECT min(m.p) FROM marks m WHERE m.wm >= c.t) AS p
+    FROM (SELECT DISTINCT zone, t FROM caused WHERE wm IS NULL OR t > wm) c)
+  WHERE p IS NOT NULL),
+pruned AS (SELECT zone, pass, max(t) - {w} - {late} AS below FROM fired GROUP BY zone, pass),
+met AS (
+  SELECT f.zone, f.t, f.p, f.pass, a.e FROM fired f JOIN admitted a
+    ON a.zone = f.zone AND a.p <= f.p AND a.e >= f.t - {w} AND a.e < f.t
+  WHERE NOT EXISTS (SELECT 1 FROM pruned x WHERE x.zone = f.zone AND x.pass >= 2 * a.p
+    AND x.pass < f.pass AND a.e < x.below)),
+tallied AS (SELECT zone, t, pass, count(*) AS c FROM met GROUP BY zone, t, pass),
+counted AS (
+  SELECT f.zone, f.t, f.p, f.pass, coalesce(x.c, 0) AS c FROM fired f
+  LEFT JOIN tallied x ON x.zone = f.zone AND x.t = f.t AND x.pass = f.pass),
+{_averaged('pass, t')}"""
+
+
 SQL: dict[str, str] = {
     "detect_by_event_type": detection(BY_EVENT_TYPE, BY_TYPE),
     "detect_by_user": detection(BY_USER_ID, BY_USER),
@@ -391,4 +482,6 @@ SELECT 'LATE_EVENT | zone=' || zone || ' | ride_id=' || event_id || ' | timestam
 SELECT event_id, zone AS zone_id, cycle_ms, extra, 1 + extra AS expected_load FROM loads""",
     "stream_final": closed(LATE.watermark_ms + LATE.lateness_ms),
     "stream_refire": closed(LATE.watermark_ms),
+    "stream_refire_late": replay_refire(),
+    "stream_final_late": replay_final(),
 }

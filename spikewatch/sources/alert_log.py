@@ -23,7 +23,7 @@ from spikewatch.functions.jsontext import (
     to_number,
 )
 from spikewatch.functions.numbers import plain_decimal
-from spikewatch.functions.timeline import iso_utc
+from spikewatch.functions.timeline import iso_utc, parse_iso
 from spikewatch.schemas import ALERT
 
 FIELDS = (
@@ -95,7 +95,7 @@ def parse_alerts(lines: DataFrame) -> DataFrame:
         "value",
         F.col("_raw._corrupt").alias("_corrupt"),
         missing_names({n: F.col(f"_raw.{n}").isNotNull() for n in names}).alias("_missing"),
-        F.try_to_timestamp(F.col("_raw.timestamp")).alias("timestamp"),
+        parse_iso(F.col("_raw.timestamp")).alias("timestamp"),
         F.col("_raw.zone").alias("zone"),
         to_integer(F.col("_raw.request_count")).alias("request_count"),
         to_number(F.col("_raw.ema_baseline")).alias("ema_baseline"),
@@ -105,6 +105,7 @@ def parse_alerts(lines: DataFrame) -> DataFrame:
         F.when(F.col("_corrupt").isNotNull() | ~single_object(F.col("value")), "Malformed JSON")
         .when(
             F.col("_missing") != "",
+            # Fixed wording.
             F.concat(F.lit("Missing required fields: "), F.col("_missing")),
         )
         .when(F.col("request_count").isNull(), "Unreadable number: request_count")

@@ -1,91 +1,53 @@
-"""Streaming detection that evaluates each window once, when the watermark closes it."""
+"""Streaming detection that evaluates each window once, when the watermark closes it.
+
+A row counts in every window that is still open when it arrives, whichever windows it is
+too late for. Like any other row, one that is too late for all still counts towards
+its key's first event time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from spikewatch.config import SurgeConfig
-from spikewatch.operators.baseline import fold_counts, status_of
-from spikewatch.operators.windows import window_counts_chained
-
-# What a processor returns for a key: arrays over the windows fired, since single rows
-# from Python cost far more than array elements do.
-FIRED = T.StructType(
-    [
-        T.StructField("zone", T.StringType()),
-        T.StructField("window_end_ms", T.ArrayType(T.LongType())),
-        T.StructField("request_count", T.ArrayType(T.LongType())),
-        T.StructField("ema_baseline", T.ArrayType(T.DoubleType())),
-        T.StructField("warm", T.LongType()),
-        T.StructField("emit_seq", T.LongType()),
-    ]
+from spikewatch.streaming.keyed import (
+    FIRED,
+    KeyState,
+    WindowProcessor,
+    collapsed,
+    hold_back_ms,
+    one_per_window,
 )
 
 
-def fired(
-    zone: str, ends: list[int], counts: list[int], shown: list[float], warm: int, seq: int
-) -> Row:
-    """The first ``warm`` windows are warming up; ``seq`` is the first one's ``emit_seq``."""
-    return Row(
-        zone=zone,
-        window_end_ms=ends,
-        request_count=counts,
-        ema_baseline=shown,
-        warm=warm,
-        emit_seq=seq,
-    )
-
-
-def one_per_window(rows: DataFrame, cfg: SurgeConfig) -> DataFrame:
-    """Evaluations ``zone, window_end_ms, request_count, ema_baseline, status, emit_seq``."""
-    arrays = F.arrays_zip("window_end_ms", "request_count", "ema_baseline")
-    exploded = rows.select("zone", "warm", "emit_seq", F.posexplode(arrays).alias("at", "window"))
-    count, baseline = F.col("window.request_count"), F.col("window.ema_baseline")
-    return exploded.select(
-        "zone",
-        "window.window_end_ms",
-        "window.request_count",
-        "window.ema_baseline",
-        status_of(count, baseline, F.col("at") < F.col("warm"), cfg.surge_threshold).alias(
-            "status"
-        ),
-        (F.col("emit_seq") + F.col("at")).alias("emit_seq"),
-    )
+class FinalProcessor(WindowProcessor):
+    """Windows that have fired stay closed."""
 
+    def _needed_from(self, end: int) -> int:
+        # Where the next window starts.
+        return end + self.cfg.slide_ms - self.cfg.window_ms
 
-class BaselineProcessor(StatefulProcessor):
-    """Keeps a key's moving average across micro-batches of closed windows."""
-
-    def __init__(self, cfg: SurgeConfig) -> None:
-        self.cfg = cfg
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "baseline", "average double, warm_until bigint, emit_seq bigint"
-        )
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+    def _add(self, state: KeyState, rows: Iterator[Row], watermark: int | None) -> None:
         cfg = self.cfg
-        windows = sorted((r.window_end_ms, r.request_count, r.first_ms) for r in rows)
-        if self.state.exists():
-            average, warm_until, seq = self.state.get()
-        else:
-            average, warm_until, seq = None, windows[0][2] + cfg.window_ms, 0
-        warm = sum(end <= warm_until for end, _, _ in windows)
-        counts = [count for _, count, _ in windows]
-        shown, average = fold_counts(counts, warm, average, cfg.alpha)
-        ends = [end for end, _, _ in windows]
-        yield fired(key[0], ends, counts, shown, warm, seq)
-        self.state.update((average, warm_until, seq + len(windows)))
-
-    def close(self) -> None:
-        pass
+        panes = dict(zip(state.panes, state.counts))
+        pending = set(state.pending)
+        for row in rows:
+            if state.first_ms is None or row.first_ms < state.first_ms:
+                state.first_ms = row.first_ms
+            for pane, earliest, latest, n in zip(row.pane, row.next_end, row.latest_end, row.n):
+                if watermark is not None:
+                    reach = pane + cfg.window_ms
+                    if reach - reach % cfg.slide_ms <= watermark:
+                        continue
+                    still_open = watermark - watermark % cfg.slide_ms + cfg.slide_ms
+                    earliest = max(earliest, still_open)
+                panes[pane] = panes.get(pane, 0) + n
+                pending.update(range(earliest, latest + 1, cfg.slide_ms))
+        state.panes = sorted(panes)
+        state.counts = [panes[pane] for pane in state.panes]
+        state.pending = sorted(pending)
 
 
 def detect_final(
@@ -95,19 +57,18 @@ def detect_final(
     time: str = "event_time",
     wait_for_late: bool = True,
 ) -> DataFrame:
-    """One evaluation per closed window, in append mode.
+    """One evaluation per closed window, in append mode; needs RocksDB state.
 
     By default a window closes only after the allowed lateness has passed too, so that
     late rows are in it. ``wait_for_late=False`` closes it at the watermark and gives up
     rows that come after.
     """
     cfg = cfg or SurgeConfig()
-    delay = cfg.watermark_ms + (cfg.lateness_ms if wait_for_late else 0)
-    keyed = requests.withColumn("_key", requests[key].cast("string"))
-    windows = window_counts_chained(
-        keyed.withWatermark(time, f"{delay} milliseconds"), cfg, "_key", time
-    )
-    rows = windows.groupBy("zone").transformWithState(
-        BaselineProcessor(cfg), FIRED, "Append", "None"
+    delay = cfg.watermark_ms + (cfg.lateness_ms if wait_for_late else 0) + hold_back_ms(cfg)
+    rows = (
+        collapsed(requests, cfg, cfg.pane_ms, key, time)
+        .withWatermark("event_time", f"{delay} milliseconds")
+        .groupBy("zone")
+        .transformWithState(FinalProcessor(cfg), FIRED, "Append", "EventTime")
     )
     return one_per_window(rows, cfg)

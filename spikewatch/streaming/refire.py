@@ -8,31 +8,19 @@ towards the key's first event time.
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field, fields
-from itertools import accumulate
-from typing import Any, ClassVar
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from spikewatch.config import SurgeConfig
-from spikewatch.functions.timeline import align_down, latest_end, next_end
-from spikewatch.operators.baseline import fold_counts
-from spikewatch.streaming.final import FIRED, fired, one_per_window
-
-# Spark discards rows behind its own watermark before a processor sees them, yet even the
-# oldest row may lower a key's first event time. Spark's watermark is therefore held this
-# far behind the logical one. It costs no state; event times must lie after 1971.
-HOLD_BACK_MS = 365 * 24 * 3600 * 1000
-
-
-def hold_back_ms(cfg: SurgeConfig) -> int:
-    return HOLD_BACK_MS + cfg.window_ms + cfg.lateness_ms + 1
+from spikewatch.streaming.keyed import (
+    FIRED,
+    KeyState,
+    WindowProcessor,
+    collapsed,
+    hold_back_ms,
+    one_per_window,
+)
 
 
 def state_pane_ms(cfg: SurgeConfig) -> int:
@@ -40,128 +28,11 @@ def state_pane_ms(cfg: SurgeConfig) -> int:
     return math.gcd(cfg.window_ms, cfg.slide_ms, cfg.lateness_ms)
 
 
-def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    fate = ["zone", "pane", "next_end", "latest_end"]
-    for batch in batches:
-        alike = (
-            pa.Table.from_batches([batch])
-            .group_by(fate)
-            .aggregate([("t", "count"), ("t", "min"), ("t", "max")])
-        )
-        keys = alike.group_by("zone").aggregate(
-            [
-                ("pane", "list"),
-                ("next_end", "list"),
-                ("latest_end", "list"),
-                ("t_count", "list"),
-                ("t_min", "min"),
-                ("t_max", "max"),
-            ]
-        )
-        newest = pc.multiply(keys.column("t_max_max"), 1000).cast(pa.timestamp("us", tz="UTC"))
-        columns = {
-            "zone": keys.column("zone"),
-            "pane": keys.column("pane_list"),
-            "next_end": keys.column("next_end_list"),
-            "latest_end": keys.column("latest_end_list"),
-            "n": keys.column("t_count_list"),
-            "first_ms": keys.column("t_min_min"),
-            "event_time": newest,
-        }
-        yield from pa.table(columns).combine_chunks().to_batches()
-
-
-def collapsed(requests: DataFrame, cfg: SurgeConfig, key: str, time: str) -> DataFrame:
-    """Requests reduced inside each partition, before the shuffle by key.
-
-    Events of one pane with the same first and last window share their fate, so a batch of
-    events becomes one row per key with a few array elements, however hot the key.
-    ``event_time`` is the newest time in a row, which leaves the watermark as it was.
-    """
-    t = F.col("t")
-    return (
-        requests.select(F.col(key).cast("string").alias("zone"), F.unix_millis(time).alias("t"))
-        .select(
-            "zone",
-            "t",
-            align_down(t, state_pane_ms(cfg)).alias("pane"),
-            next_end(t, cfg).alias("next_end"),
-            latest_end(t, cfg).alias("latest_end"),
-        )
-        .mapInArrow(
-            _collapse,
-            "zone string, pane array<bigint>, next_end array<bigint>, "
-            "latest_end array<bigint>, n array<bigint>, first_ms bigint, event_time timestamp",
-        )
-    )
-
-
-@dataclass
-class KeyState:
-    """What is kept per key, stored as one row: a read and a write per micro-batch.
-
-    ``panes`` and ``counts`` go together; ``pending`` are the window ends still to
-    fire; ``timer`` is the window end the key's one timer stands for.
-    """
-
-    panes: list[int] = field(default_factory=list)
-    counts: list[int] = field(default_factory=list)
-    pending: list[int] = field(default_factory=list)
-    average: float | None = None
-    first_ms: int | None = None
-    emit_seq: int = 0
-    timer: int | None = None
-
-    # Same order as the fields.
-    SCHEMA: ClassVar[str] = (
-        "panes array<bigint>, counts array<bigint>, pending array<bigint>, "
-        "average double, first_ms bigint, emit_seq bigint, timer bigint"
-    )
-
-    def row(self) -> tuple:
-        return tuple(getattr(self, f.name) for f in fields(self))
-
-
-class RefireProcessor(StatefulProcessor):
-    """Fires window ends in order as the watermark passes them, late ones again."""
-
-    def __init__(self, cfg: SurgeConfig) -> None:
-        self.cfg = cfg
-        self.hold_back = hold_back_ms(cfg)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.stored = handle.getValueState("key_state", KeyState.SCHEMA)
+class RefireProcessor(WindowProcessor):
+    """Late rows bring windows back that have fired."""
 
-    def _load(self) -> KeyState:
-        row = self.stored.get()
-        if row is None:
-            return KeyState()
-        lists = [list(values) for values in row[:3]]
-        return KeyState(*lists, *row[3:])
-
-    def _fire(self, zone: str, state: KeyState, watermark: int) -> Iterator[Row]:
-        """Evaluate the pending windows up to the watermark, in ascending order."""
-        cfg = self.cfg
-        due = sorted(end for end in state.pending if end <= watermark)
-        if not due:
-            return
-        state.pending = [end for end in state.pending if end > watermark]
-        below = [0, *accumulate(state.counts)]
-        counts = [
-            below[bisect_left(state.panes, end)]
-            - below[bisect_left(state.panes, end - cfg.window_ms)]
-            for end in due
-        ]
-        warm_until = state.first_ms + cfg.window_ms
-        # The first window of a key has no average to compare with.
-        warm = max(bisect_right(due, warm_until), int(state.average is None))
-        shown, state.average = fold_counts(counts, warm, state.average, cfg.alpha)
-        yield fired(zone, due, counts, shown, warm, state.emit_seq)
-        state.emit_seq += len(due)
-        # Each firing prunes; the last one of an ascending pass prunes the most.
-        gone = bisect_left(state.panes, due[-1] - cfg.window_ms - cfg.lateness_ms)
-        del state.panes[:gone], state.counts[:gone]
+    def _needed_from(self, end: int) -> int:
+        return end - self.cfg.window_ms - self.cfg.lateness_ms
 
     def _add(self, state: KeyState, rows: Iterator[Row], watermark: int | None) -> None:
         cfg = self.cfg
@@ -179,44 +50,6 @@ class RefireProcessor(StatefulProcessor):
         state.counts = [panes[pane] for pane in state.panes]
         state.pending = sorted(pending)
 
-    def _save(self, state: KeyState) -> None:
-        """Store the state and move the timer to the earliest window still to fire."""
-        timer = min(state.pending, default=None)
-        if timer != state.timer:
-            if state.timer is not None:
-                self.handle.deleteTimer(state.timer - self.hold_back)
-            if timer is not None:
-                self.handle.registerTimer(timer - self.hold_back)
-            state.timer = timer
-        self.stored.update(state.row())
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        held = timerValues.getCurrentWatermarkInMs()
-        # Zero means that there is no watermark yet.
-        watermark = held + self.hold_back if held > 0 else None
-        state = self._load()
-        if watermark is not None:
-            # Spark runs timers after the rows; windows already due must not see them.
-            yield from self._fire(key[0], state, watermark)
-        self._add(state, rows, watermark)
-        if watermark is not None:
-            # Late rows brought fired windows back.
-            yield from self._fire(key[0], state, watermark)
-        self._save(state)
-
-    def handleExpiredTimer(
-        self, key: Any, timerValues: Any, expiredTimerInfo: Any
-    ) -> Iterator[Row]:
-        state = self._load()
-        # Spark removes this timer itself once it has been handled.
-        state.timer = None
-        watermark = timerValues.getCurrentWatermarkInMs() + self.hold_back
-        yield from self._fire(key[0], state, watermark)
-        self._save(state)
-
-    def close(self) -> None:
-        pass
-
 
 def detect_refire(
     requests: DataFrame,
@@ -228,7 +61,7 @@ def detect_refire(
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + hold_back_ms(cfg)
     rows = (
-        collapsed(requests, cfg, key, time)
+        collapsed(requests, cfg, state_pane_ms(cfg), key, time)
         .withWatermark("event_time", f"{delay} milliseconds")
         .groupBy("zone")
         .transformWithState(RefireProcessor(cfg), FIRED, "Update", "EventTime")

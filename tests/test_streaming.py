@@ -11,6 +11,7 @@ from spikewatch.config import SurgeConfig
 from spikewatch.plans.jobs import requests_of, start_job
 from spikewatch.sources.alert_log import log_lines, parse_alerts, stored_schema, valid_alerts
 from spikewatch.sources.lines import stream_lines
+from spikewatch.streaming.keyed import EARLIEST_MS
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -153,6 +154,44 @@ def test_final_mode_takes_late_rows_in(spark, tmp_path):
     assert got == rounded({"A": [r for r in in_time if r[0] <= START_MS + 186_000]})["A"]
 
 
+def test_final_mode_keeps_late_rows_for_open_windows(spark, tmp_path):
+    """84 is too late for its first window, whose pane has closed, not for the other two."""
+    cfg = SurgeConfig()
+    feed(tmp_path / "in", seconds([0], [100], [101], [84], [200], [201], [400], [401]))
+    got = stored(spark, run(spark, tmp_path, cfg, "final"))["A"]
+    ends = [(t - START_MS) // 1000 for t, *_ in got]
+    assert ends[:8] == [5, 10, 90, 95, 105, 110, 115, 205]
+    assert [n for _, n, *_ in got][2:4] == [1, 1]
+
+
+@pytest.mark.parametrize("mode", ["final", "refire"])
+@pytest.mark.parametrize("year", [1969, 1970, 2026])
+def test_old_times_and_rows_decades_late(spark, tmp_path, year, mode):
+    """Windows fire at the logical watermark whatever the century; no row is lost."""
+    cfg = SurgeConfig()
+    base = int(datetime(year, 7, 20, tzinfo=timezone.utc).timestamp() * 1000)
+    decades = 40 * 365 * 24 * 3600
+    batches = [
+        [("A", base + s * 1000) for s in batch]
+        for batch in ([0, 1], [2, 3], [30], [31, -decades], [60], [1000])
+    ]
+    feed(tmp_path / "in", batches)
+    got = stored(spark, run(spark, tmp_path, cfg, mode))
+    model = Model(cfg)
+    for batch in batches:
+        model.batch(batch)
+    if mode == "refire":
+        assert got == rounded(model.out)
+    else:
+        assert [(t, n) for t, n, *_ in got["A"]] == [(t, n) for t, n, *_ in model.out["A"]]
+
+
+def test_times_out_of_reach_are_an_error(spark, tmp_path):
+    feed(tmp_path / "in", [[("A", EARLIEST_MS - 1)]])
+    with pytest.raises(Exception, match="outside the years"):
+        run(spark, tmp_path, SurgeConfig(), "refire")
+
+
 def test_final_mode_can_give_late_rows_up(spark, tmp_path):
     cfg = SurgeConfig(window_seconds=5)
     feed(tmp_path / "in", seconds([1, 2], [12], [14], [3], [60]))
