@@ -45,6 +45,8 @@ HELD_OUT = 5
 # Languages with a threshold of their own, the most frequent first; there are fewer in the world.
 MOST_LANGUAGES = 10_000
 
+RESULTS = ("perplexity", "threshold", "accepted")
+
 SENT = "shard int, chunk long, count long, grams binary, uses binary"
 COUNTED = "shard int, gram long, uses long"
 REPLY = "chunk long, shard int, nats binary"
@@ -249,10 +251,10 @@ def judge_documents(
     """The given columns of every row, with ``perplexity``, ``threshold`` and ``accepted``.
 
     ``labels`` are ``doc_id, quality, toxic``: trusted are documents of quality 1 that are not
-    toxic.
+    toxic. Given columns with the results' names are replaced.
     """
     spark = docs.sparkSession
-    columns = docs.columns if columns is None else columns
+    columns = [c for c in (columns or docs.columns) if c not in RESULTS]
     carried = [F.col(f"`{name}`").alias(f"c{n}") for n, name in enumerate(columns)]
     named = [F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")]
     table = chunked(docs.select(*named, *carried), CHUNK_BYTES)

@@ -44,6 +44,8 @@ PROBE_BITS = 48
 # Words that one task of a hash range should compare.
 WORDS_PER_RANGE = 3_000_000
 
+RESULTS = ("n_words", "n_removed", "kept")
+
 SENT = "range int, chunk long, count long, keys binary, more binary, flags binary"
 REPLY = "chunk long, step int, range int, count long, bits binary"
 
@@ -210,12 +212,13 @@ def remove_repeats(
 
     ``kept`` is the text without its repeated words: the other words joined by one space, or,
     if not ``spaced``, the stretches of the text that stay, joined by line breaks; a text
-    that loses nothing then stays byte for byte.
+    that loses nothing then stays byte for byte. Given columns with these names are replaced.
     """
     if window < 2 * block - 1:
         raise ValueError("window must be at least 2 * block - 1")
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c != text] if columns is None else columns
+    columns = [c for c in columns if c not in RESULTS]
     renamed = [F.col(f"`{name}`").alias(f"c{n}") for n, name in enumerate(columns)]
     n_columns = len(columns)
     table = chunked(docs.select(F.col(text).alias("text"), *renamed), CHUNK_BYTES)
