@@ -480,11 +480,20 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _run_stream(
+    spark: SparkSession, sf_dir: str, mode: str, flush: bool = False
+) -> DataFrame:
     configure(spark)
     path, checkpoint = shared_dir(spark, f"{mode}-log"), shared_dir(spark, f"{mode}-checkpoint")
     job = start_job(
-        _stream(spark, sf_dir), path, checkpoint, LATE, mode, "parquet", until_caught_up=True
+        _stream(spark, sf_dir),
+        path,
+        checkpoint,
+        LATE,
+        mode,
+        "parquet",
+        until_caught_up=True,
+        flush=flush,
     )
     job.awaitTermination()
     return _stored(spark, path)
@@ -498,6 +507,15 @@ def stream_refire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, sf_dir, "refire")
 
 
+def stream_final_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole bounded stream, with the windows open at its end."""
+    return _run_stream(spark, sf_dir, "final", flush=True)
+
+
+def stream_refire_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_stream(spark, sf_dir, "refire", flush=True)
+
+
 # Seconds of arrivals in one part of the replay.
 PART_S = 10 * DAY
 
@@ -578,5 +596,7 @@ QUERIES: dict[str, Query] = {
         stream_refire,
         stream_refire_late,
         stream_final_late,
+        stream_final_flush,
+        stream_refire_flush,
     )
 }

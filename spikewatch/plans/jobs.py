@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spikewatch.config import SurgeConfig
 from spikewatch.plans.detect import as_alerts
 from spikewatch.session import configure
-from spikewatch.sources.alert_log import batch_writer
+from spikewatch.sources.alert_log import batch_writer, write_batch
 from spikewatch.sources.requests import accepted, parse_requests, with_event_time
-from spikewatch.streaming.final import detect_final
-from spikewatch.streaming.refire import detect_refire
+from spikewatch.streaming.final import FinalProcessor, detect_final
+from spikewatch.streaming.keyed import pending_rows
+from spikewatch.streaming.refire import RefireProcessor, detect_refire
 
 MODES = {"final": detect_final, "refire": detect_refire}
+PROCESSORS = {"final": FinalProcessor, "refire": RefireProcessor}
 
 
 def requests_of(lines: DataFrame, failfast: bool = False) -> DataFrame:
@@ -30,11 +33,13 @@ def start_job(
     fmt: str = "json",
     files: int | None = None,
     until_caught_up: bool = False,
+    flush: bool = False,
     **options: str | bool,
 ) -> StreamingQuery:
     """Start detection over a stream with an ``event_time`` column.
 
-    ``until_caught_up`` processes what is there and stops. The log at ``path`` is
+    ``until_caught_up`` processes what is there and stops. ``flush`` then waits for that and
+    evaluates the windows still open, as at the end of a bounded stream. The log at ``path`` is
     truncated when the job starts with a fresh checkpoint and continued otherwise;
     ``files`` bounds the files per micro-batch. Other options go to the mode: ``key``,
     ``time``, and ``wait_for_late`` in final mode.
@@ -42,7 +47,10 @@ def start_job(
     cfg = cfg or SurgeConfig()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(sorted(MODES))}")
-    configure(requests.sparkSession, cfg)
+    if flush and not until_caught_up:
+        raise ValueError("flush needs until_caught_up: an endless stream has no end")
+    spark = requests.sparkSession
+    configure(spark, cfg)
     evaluations = MODES[mode](requests, cfg, **options)
     writer = (
         as_alerts(evaluations)
@@ -52,4 +60,37 @@ def start_job(
     )
     if until_caught_up:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    query = writer.start()
+    if flush:
+        query.awaitTermination()
+        flush_pending(spark, path, checkpoint, cfg, mode, fmt, files)
+    return query
+
+
+def flush_pending(
+    spark: SparkSession,
+    path: str,
+    checkpoint: str,
+    cfg: SurgeConfig,
+    mode: str = "final",
+    fmt: str = "json",
+    files: int | None = None,
+) -> None:
+    """Write the windows a stopped job still waits with, as the log's next micro-batch.
+
+    The states are read where the job left them and stay as they are: a job that goes on
+    from the checkpoint writes its next micro-batch over this one.
+    """
+    found = spark.read.format("state-metadata").load(checkpoint)
+    last = found.agg(F.max("maxBatchId").alias("last")).first()["last"]
+    if last is None:
+        return
+    states = (
+        spark.read.format("statestore")
+        .option("path", checkpoint)
+        .option("stateVarName", "key_state")
+        .load()
+        .select("key.*", "value.*")
+    )
+    rows = as_alerts(pending_rows(states, PROCESSORS[mode](cfg)))
+    write_batch(rows, path, last + 1, fmt, files)

@@ -482,6 +482,8 @@ SELECT 'LATE_EVENT | zone=' || zone || ' | ride_id=' || event_id || ' | timestam
 SELECT event_id, zone AS zone_id, cycle_ms, extra, 1 + extra AS expected_load FROM loads""",
     "stream_final": closed(LATE.watermark_ms + LATE.lateness_ms),
     "stream_refire": closed(LATE.watermark_ms),
+    "stream_final_flush": closed(-(10**15)),
+    "stream_refire_flush": closed(-(10**15)),
     "stream_refire_late": replay_refire(),
     "stream_final_late": replay_final(),
 }

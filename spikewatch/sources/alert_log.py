@@ -176,14 +176,13 @@ def write_batch(
         if "emit_seq" in rows.columns:
             rows = rows.sortWithinPartitions("zone", "emit_seq")
         rows = rows.select(alert_line().alias("value"), "emit_batch")
-    scope = "static" if batch_id == 0 else "dynamic"
-    (
-        rows.write.mode("overwrite")
-        .format("text" if fmt == "json" else fmt)
-        .option("partitionOverwriteMode", scope)
-        .partitionBy("emit_batch")
-        .save(path)
-    )
+    if batch_id == 0:
+        writer = rows.write.partitionBy("emit_batch").option("partitionOverwriteMode", "static")
+    else:
+        # The folder itself, so that a batch without rows empties it too.
+        path = f"{path.rstrip('/')}/emit_batch={batch_id}"
+        writer = rows.drop("emit_batch").write
+    writer.mode("overwrite").format("text" if fmt == "json" else fmt).save(path)
 
 
 def batch_writer(

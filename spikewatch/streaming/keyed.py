@@ -27,6 +27,7 @@ from spikewatch.operators.baseline import fold_counts, status_of
 YEAR_MS = 31_556_952_000
 HOLD_BACK_MS = 2001 * YEAR_MS
 SHIFT_MS = 4000 * YEAR_MS
+END_OF_TIME = 2**62
 # Event times admitted: the years 1000 to 2999.
 EARLIEST_MS, BEYOND_MS = -30_610_224_000_000, 32_503_680_000_000
 
@@ -265,3 +266,33 @@ class WindowProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def pending_rows(state: DataFrame, processor: WindowProcessor) -> DataFrame:
+    """Evaluations of the windows that stored states still wait with, as if time had ended.
+
+    ``state`` has ``zone`` and the fields of ``KeyState``. Keys are independent, so this is
+    one pass over the states where they lie.
+    """
+    names = [f.name for f in fields(KeyState)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema(
+            [
+                ("zone", pa.string()),
+                ("window_end_ms", pa.list_(pa.int64())),
+                ("request_count", pa.list_(pa.int64())),
+                ("ema_baseline", pa.list_(pa.float64())),
+                ("warm", pa.int64()),
+                ("emit_seq", pa.int64()),
+            ]
+        )
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                stored = KeyState(*(row[name] for name in names))
+                out += [r.asDict() for r in processor._fire(row["zone"], stored, END_OF_TIME)]
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    rows = state.select("zone", *names).mapInArrow(run, FIRED)
+    return one_per_window(rows, processor.cfg)

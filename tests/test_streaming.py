@@ -65,9 +65,8 @@ def seconds(*batches, zone="A"):
 
 def test_refire_golden(spark, tmp_path):
     cfg = SurgeConfig()
-    # The last batch stands for the end of input: it pushes the watermark past everything.
-    feed(tmp_path / "in", seconds([0, 1, 6], [12, 20], [40], [21, 2, 13], [60], [1000]))
-    got = stored(spark, run(spark, tmp_path, cfg, "refire"))["A"]
+    feed(tmp_path / "in", seconds([0, 1, 6], [12, 20], [40], [21, 2, 13], [60]))
+    got = stored(spark, run(spark, tmp_path, cfg, "refire", flush=True))["A"]
     # Fixed values: (window end, count, baseline) in order; 25 and 30 fire twice.
     assert [((t - START_MS) // 1000, n, x) for t, n, x, _ in got] == [
         (5, 2, 2.0),
@@ -87,6 +86,39 @@ def test_refire_golden(spark, tmp_path):
     assert [s for *_, s in got] == ["INITIALIZING"] * 3 + ["NORMAL"] * 10
 
 
+def test_flushed_replay_with_late_rows(spark, tmp_path):
+    """Fifty seconds of default demand; three Downtown events come late, windows re-fire."""
+    cfg = SurgeConfig()
+    ticks = replay(50, {10: 3, 30: 3, 40: 12})
+    batches = [sum(ticks[i : i + 8], []) for i in range(0, len(ticks), 8)]
+    model = Model(cfg)
+    for batch in batches:
+        model.batch(batch)
+    model.flush()
+    feed(tmp_path / "in", batches)
+    assert stored(spark, run(spark, tmp_path, cfg, "refire", flush=True)) == rounded(model.out)
+
+
+def test_job_goes_on_over_a_flush(spark, tmp_path):
+    """What a flush wrote gives way to the micro-batch that takes its place."""
+    cfg = SurgeConfig()
+    batches = seconds([0, 1, 6], [12, 20], [40])
+    model = Model(cfg)
+    feed(tmp_path / "in", batches[:2])
+    run(spark, tmp_path, cfg, "refire", flush=True)
+    feed(tmp_path / "in", batches[2:], 2)
+    got = stored(spark, run(spark, tmp_path, cfg, "refire", flush=True))
+    for batch in batches:
+        model.batch(batch)
+    model.flush()
+    assert got == rounded(model.out)
+
+
+def test_flush_needs_an_end(spark, tmp_path):
+    with pytest.raises(ValueError):
+        start_job(spark.range(1), str(tmp_path), str(tmp_path), flush=True)
+
+
 @pytest.mark.parametrize(
     "seed, cfg",
     [
