@@ -19,44 +19,43 @@ OUT_OF_ORDER = "out_of_order"
 LATE_REFIRE = "late_refire"
 DROPPED = "dropped"
 
-# Arrivals per chunk, and chunks per super-chunk, of the running maximum.
-CHUNK = 4096
+# Widths of the chunks the running maximum is taken in, each 65,536 of the one before. Above
+# the widest, any whole numbers leave 65,536 rows at most.
+WIDTHS = (1 << 16, 1 << 32, 1 << 48)
 
 
-def _before(value: str, *partition: Column, order: str) -> Column:
-    span = Window.partitionBy(*partition) if partition else Window.partitionBy()
-    return F.max(value).over(span.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+def _before(rows: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """``at, before``: the largest ``top`` among the rows with a smaller ``at``.
+
+    The joins are null-safe, so that no filters are inferred and pushed below them. The
+    uses of ``rows`` then stay alike and share one scan and one shuffle.
+    """
+    own = F.max("top")
+    if not widths:
+        every = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select("at", own.over(every).alias("before"))
+    chunk = align_down(F.col("at"), widths[0])
+    placed = rows.withColumn("chunk", chunk)
+    tops = placed.groupBy("chunk").agg(own.alias("top")).withColumnRenamed("chunk", "at")
+    above = _before(tops, widths[1:]).toDF("above", "above_before")
+    inside = Window.partitionBy(placed["chunk"]).orderBy("at")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(above, placed["chunk"].eqNullSafe(above["above"])).select(
+        "at", F.greatest("above_before", own.over(inside)).alias("before")
+    )
 
 
 def newest_before(events: DataFrame, arrival: str, time_ms: str) -> DataFrame:
     """Per arrival the newest event time among strictly earlier arrivals, ``newest_ms``.
 
     Each arrival is first reduced to its maximum, so a bulk arrival costs one row. The
-    running maximum is then taken inside chunks of 4096 arrivals, over chunks inside
-    super-chunks, and over super-chunks: no group holds more than 4096 rows except the
-    last, which has one row per 16.8 million arrivals.
-
-    The joins are null-safe, so that no filters are inferred and pushed below them. The
-    three uses of ``ticks`` then stay alike and share one scan and one shuffle.
+    running maximum is then taken inside chunks, over chunks inside wider chunks, and so on:
+    no group holds more than 65,536 rows, whatever the unit of the arrivals.
     """
-    ticks = events.groupBy(F.col(arrival).alias("arrival")).agg(F.max(time_ms).alias("top"))
-    ticks = ticks.withColumn("chunk", align_down(F.col("arrival"), CHUNK))
-    chunks = ticks.groupBy("chunk").agg(F.max("top").alias("chunk_top"))
-    chunks = chunks.withColumn("super", align_down(F.col("chunk"), CHUNK * CHUNK))
-    supers = chunks.groupBy("super").agg(F.max("chunk_top").alias("super_top"))
-    supers = supers.select("super", _before("super_top", order="super").alias("super_before"))
-    chunks = chunks.join(supers, chunks["super"].eqNullSafe(supers["super"])).select(
-        "chunk",
-        F.greatest("super_before", _before("chunk_top", chunks["super"], order="chunk")).alias(
-            "chunk_before"
-        ),
-    )
-    return ticks.join(chunks, ticks["chunk"].eqNullSafe(chunks["chunk"])).select(
-        "arrival",
-        F.greatest("chunk_before", _before("top", ticks["chunk"], order="arrival")).alias(
-            "newest_ms"
-        ),
+    ticks = events.groupBy(F.col(arrival).cast("bigint").alias("at")).agg(
+        F.max(time_ms).alias("top")
     )
+    return _before(ticks, WIDTHS).toDF("arrival", "newest_ms")
 
 
 def arrival_class(cfg: SurgeConfig, event_ms: Column, newest_ms: Column) -> Column:

@@ -6,11 +6,11 @@ so each event meets at most one step and no aggregation over events is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A schedule of more steps than this is joined by shuffling instead of broadcasting.
-BROADCAST_STEPS = 100_000
+# Parts of the cycle that events and steps are joined by, besides the zone.
+PARTS = 64
 
 
 def schedule_steps(schedule: DataFrame) -> DataFrame:
@@ -43,18 +43,39 @@ def annotate_schedule(
     base: int = 1,
     key: str = "zone_id",
     time_ms: str = "event_time_millis",
-    broadcast_steps: int = BROADCAST_STEPS,
+    parts: int = PARTS,
 ) -> DataFrame:
-    """Add ``cycle_ms``, ``extra`` (0 outside every entry) and ``expected_load``."""
-    steps = schedule_steps(schedule).withColumnRenamed("zone", "_zone")
-    if steps.limit(broadcast_steps + 1).count() <= broadcast_steps:
-        steps = F.broadcast(steps)
+    """Add ``cycle_ms``, ``extra`` (0 outside every entry) and ``expected_load``.
+
+    The cycle is cut into ``parts``; a step is listed in each part it touches and an event
+    looks in its own. So a zone's events are spread over many tasks and meet few steps.
+    """
     cycle_ms = F.pmod(F.col(time_ms) - F.lit(origin_ms), F.lit(cycle_s * 1000).cast("long"))
     placed = events.withColumn("cycle_ms", cycle_ms)
+    width = -(-cycle_s * 1000 // parts)
+
+    def part_of(ms: Column) -> Column:
+        return F.floor(ms / width)
+
+    from_ms = F.greatest(F.col("from_s").cast("long") * 1000, F.lit(0))
+    to_ms = F.least(F.col("to_s").cast("long") * 1000, F.lit(cycle_s * 1000))
+    steps = (
+        schedule_steps(schedule)
+        .select(
+            F.col("zone").alias("_zone"),
+            F.col("extra"),
+            from_ms.alias("_from"),
+            to_ms.alias("_to"),
+        )
+        .filter("_from < _to")
+    )
+    touched = F.sequence(part_of(F.col("_from")), part_of(F.col("_to") - 1))
+    steps = steps.withColumn("_part", F.explode(touched))
     inside = (
         (F.col(key) == F.col("_zone"))
-        & (F.col("cycle_ms") >= F.col("from_s") * 1000)
-        & (F.col("cycle_ms") < F.col("to_s") * 1000)
+        & (part_of(F.col("cycle_ms")) == F.col("_part"))
+        & (F.col("cycle_ms") >= F.col("_from"))
+        & (F.col("cycle_ms") < F.col("_to"))
     )
     extra = F.coalesce("extra", F.lit(0).cast("long"))
     return placed.join(steps, inside, "left").select(

@@ -38,7 +38,7 @@ def brute_force(rows, cfg):
 @pytest.mark.parametrize("chunk", [3, 4096])
 @pytest.mark.parametrize("cfg", [SurgeConfig(), SurgeConfig(window_seconds=7, slide_seconds=3)])
 def test_audit_against_brute_force(monkeypatch, spark, cfg, chunk):
-    monkeypatch.setattr(lateness, "CHUNK", chunk)
+    monkeypatch.setattr(lateness, "WIDTHS", (chunk, chunk**2, chunk**3))
     rng = random.Random(11)
     rows = []
     for i in range(300):
@@ -99,8 +99,8 @@ ENTRIES = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_steps", [0, 1000])
-def test_schedule_against_brute_force(spark, broadcast_steps):
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_schedule_against_brute_force(spark, parts):
     schedule = spark.createDataFrame(ENTRIES, "zone string, start_s long, end_s long, extra long")
     events = spark.range(0, 100_000, 250).select(
         (F.col("id") + START_MS - 30_000).alias("event_time_millis"),
@@ -108,9 +108,7 @@ def test_schedule_against_brute_force(spark, broadcast_steps):
             "zone_id"
         ),
     )
-    got = annotate_schedule(
-        events, schedule, 45, START_MS, broadcast_steps=broadcast_steps
-    ).collect()
+    got = annotate_schedule(events, schedule, 45, START_MS, parts=parts).collect()
     assert len(got) == events.count()
     for r in got:
         position = (r.event_time_millis - START_MS) / 1000 % 45
