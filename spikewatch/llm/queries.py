@@ -14,6 +14,7 @@ from spikewatch.llm import (
     jaccard_forest,
     kneser_ney,
     language,
+    oracle,
     packing,
     posting_lists,
     quality_rules,
@@ -147,4 +148,11 @@ QUERIES: dict[str, Query] = {
     "op10_language": op10_language,
 }
 
-SQL: dict[str, str] = {}
+# Token ids, language models, packing and approximate search are beyond SQL; the tests compare
+# them with plain models.
+SQL: dict[str, str] = {
+    "op3_substring_dedup": oracle.SUBSTRINGS,
+    "op4_quality_rules": oracle.QUALITY,
+    "op8_url_filter": oracle.urls(URL_RULES),
+    "op9_jaccard_join": oracle.JACCARD,
+}
