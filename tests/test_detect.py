@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import default_demand
 from model import START_MS, Model, batch_rows, ends_of, replay
 from spikewatch.config import SurgeConfig
 from spikewatch.functions.timeline import latest_end, next_end
@@ -54,6 +55,20 @@ def test_default_demand(spark):
     assert shown == DOWNTOWN
 
 
+def test_default_demand_in_all_zones(spark):
+    rows = [row for batch in replay(110) for row in batch]
+    alerts = as_alerts(detect(spark.createDataFrame(rows, SCHEMA)))
+    got = {}
+    for r in alerts.select("*", F.unix_millis("timestamp").alias("ms")).orderBy("ms").collect():
+        end = (r.ms - START_MS) // 1000
+        if end <= 100:
+            got.setdefault(r.zone, []).append((end, r.request_count, r.ema_baseline, r.status[0]))
+    assert got == {
+        zone: [(5 * n, *row) for n, row in enumerate(expected, 1)]
+        for zone, expected in default_demand.ROWS.items()
+    }
+
+
 def test_alert_counts_over_100_seconds(spark):
     rows = [row for batch in replay(110) for row in batch]
     alerts = as_alerts(detect(spark.createDataFrame(rows, SCHEMA))).filter(
