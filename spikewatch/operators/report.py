@@ -7,7 +7,7 @@ re-evaluation from its earlier one. "Last" always means last by timestamp and ro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spikewatch.config import SurgeConfig
@@ -35,22 +35,26 @@ def in_order(alerts: DataFrame) -> DataFrame:
     return alerts.orderBy("timestamp", "row_order")
 
 
+def _last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row per key. Tasks keep one row per key before anything is shuffled."""
+    newest_first = Window.partitionBy(*keys).orderBy(*(F.desc(name) for name in order))
+    ranked = rows.withColumn("_place", F.row_number().over(newest_first))
+    return ranked.filter("_place = 1").drop("_place")
+
+
 def last_evaluations(alerts: DataFrame) -> DataFrame:
     """The last row per window end and zone, so a re-evaluation replaces its first result."""
-    kept = F.struct("request_count", "ema_baseline", "status", "row_order")
-    return (
-        alerts.groupBy("timestamp", "zone")
-        .agg(F.max_by(kept, "row_order").alias("kept"))
-        .select("timestamp", "zone", "kept.*")
+    kept = _last(alerts, ["timestamp", "zone"], ["row_order"])
+    return kept.select(
+        "timestamp", "zone", "request_count", "ema_baseline", "status", "row_order"
     )
 
 
-def display_rows(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFrame:
-    """Last evaluations with window start, pressure against the baseline, label and rank."""
+def _displayed(rows: DataFrame, cfg: SurgeConfig | None) -> DataFrame:
     cfg = cfg or SurgeConfig()
     start = F.timestamp_millis(F.unix_millis("timestamp") - F.lit(cfg.window_ms))
     above_zero = F.col("ema_baseline") > 0
-    return last_evaluations(alerts).select(
+    return rows.select(
         "*",
         start.alias("window_start"),
         F.when(above_zero, F.col("request_count") / F.col("ema_baseline")).alias("pressure_ratio"),
@@ -60,15 +64,29 @@ def display_rows(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFrame
     )
 
 
+def display_rows(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFrame:
+    """Last evaluations with window start, pressure against the baseline, label and rank."""
+    return _displayed(last_evaluations(alerts), cfg)
+
+
+def latest_display(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFrame:
+    """The display rows that ``latest_by_zone`` would keep, straight from the log.
+
+    A zone's last row of all is also its last evaluation, so the log need not be reduced to
+    last evaluations first, and one row per zone and task is shuffled.
+    """
+    last = _last(alerts, ["zone"], ["timestamp", "row_order"])
+    return _displayed(
+        last.select("timestamp", "zone", "request_count", "ema_baseline", "status", "row_order"),
+        cfg,
+    )
+
+
 def latest_by_zone(display: DataFrame) -> DataFrame:
     """Each zone's last row, surges first, then by count and name."""
     others = [c for c in display.columns if c != "zone"]
-    return (
-        display.groupBy("zone")
-        .agg(F.max_by(F.struct(*others), F.struct("timestamp", "row_order")).alias("last"))
-        .select("zone", "last.*")
-        .orderBy("status_rank", F.desc("request_count"), "zone")
-    )
+    last = _last(display, ["zone"], ["timestamp", "row_order"])
+    return last.select("zone", *others).orderBy("status_rank", F.desc("request_count"), "zone")
 
 
 def zone_status_table(display: DataFrame) -> DataFrame:

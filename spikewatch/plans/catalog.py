@@ -319,6 +319,10 @@ def _display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.display_rows(report_log(spark, sf_dir), BY_TYPE)
 
 
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.latest_display(report_log(spark, sf_dir), BY_TYPE)
+
+
 def _text_times(rows: DataFrame) -> DataFrame:
     """Timestamps as ISO text, the row order by its batch number."""
     times = [f.name for f in rows.schema.fields if f.dataType.typeName() == "timestamp"]
@@ -347,7 +351,7 @@ def report_display_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_latest_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = report.latest_by_zone(_display(spark, sf_dir))
+    latest = report.latest_by_zone(_latest(spark, sf_dir))
     return _text_times(
         latest.select(
             "zone", "timestamp", "request_count", "ema_baseline", "status", "row_order"
@@ -356,7 +360,7 @@ def report_latest_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_zone_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.zone_status_table(_display(spark, sf_dir))
+    return report.zone_status_table(_latest(spark, sf_dir))
 
 
 def report_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +376,7 @@ def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_current_against_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.current_against_baseline(_display(spark, sf_dir))
+    return report.current_against_baseline(_latest(spark, sf_dir))
 
 
 def report_trend(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,21 @@ def test_long_history_shuffles_panes_once(spark):
     assert "ReusedExchange" in final
 
 
+def test_zone_report_reduces_before_shuffling(spark):
+    """One row per zone leaves a task; the log is neither shuffled whole nor sorted by struct."""
+    df = entry_point.queries()["report_zone_status"](spark, SF)
+    text = plan(df).split("== Physical Plan ==")[1]
+    assert "WindowGroupLimit" in text and "SortAggregate" not in text
+
+
+def test_no_window_over_all_arrivals(spark):
+    """Only chunks of chunks of chunks of arrivals meet in one task."""
+    df = entry_point.queries()["arrival_audit"](spark, SF)
+    text = plan(df).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    by_chunk = [line for line in text.splitlines() if "Window" in line and "], [at" in line]
+    assert len(by_chunk) >= 3
+
+
 def test_audit_scans_twice_only(spark):
     """Once for the events, once for the arrivals they are compared with."""
     df = entry_point.queries()["arrival_audit"](spark, SF)
