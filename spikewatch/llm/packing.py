@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spikewatch.llm.batches import binaries, offsets_of, pieces, text_sizes
+from spikewatch.llm.batches import binaries, pieces, text_sizes
 from spikewatch.llm.bpe import encoder
 
 # Cost of a cut inside a document, in tokens of padding.

@@ -252,8 +252,8 @@ def remove_repeats(
             own = gone[chunk.offsets[n] : chunk.offsets[n + 1]]
             removed.append(int(own.sum()))
             if spaced:
-                left = [w for w, g in zip(words, own.tolist(), strict=True) if not g] if removed[-1] else words
-                kept.append(b" ".join(left))
+                pairs = zip(words, own.tolist(), strict=True)
+                kept.append(b" ".join(words if not removed[-1] else [w for w, g in pairs if not g]))
             else:
                 kept.append(stretches(texts[n], words, own) if removed[-1] else texts[n])
         given = [rows[f"c{n}"] for n in range(n_columns)]

@@ -33,7 +33,10 @@ def prose():
 
     def make(seed, n_words, vocabulary=400):
         rng = random.Random(seed)
-        words = ["".join(rng.choice("abdeilmnorst") for _ in range(rng.randrange(2, 9))) for _ in range(vocabulary)]
+        words = [
+            "".join(rng.choice("abdeilmnorst") for _ in range(rng.randrange(2, 9)))
+            for _ in range(vocabulary)
+        ]
         rng = random.Random(seed * 7919 + 1)
         return " ".join(rng.choice(words) for _ in range(n_words))
 

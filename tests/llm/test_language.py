@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from spikewatch.llm import language
 
-LETTERS = {"en": "the and of ing tion er", "de": "der und sch ung ein ich", "fr": "les que eau oir une est", "es": "los que cion ado las el", "fi": "ja on inen ssa kaa yy"}
+LETTERS = {
+    "en": "the and of ing tion er",
+    "de": "der und sch ung ein ich",
+    "fr": "les que eau oir une est",
+    "es": "los que cion ado las el",
+    "fi": "ja on inen ssa kaa yy",
+}
 
 
 @pytest.fixture(scope="module")
