@@ -77,7 +77,9 @@ def labels(own: np.ndarray) -> np.ndarray:
 
 
 def key_of(words: np.ndarray) -> bytes:
-    """128 bits that stand for a sequence of words."""
+    """128 bits that stand for a sequence of words; none for no words."""
+    if not len(words):
+        return b""
     parts = [window_hashes(words, len(words), n) for n in (0, 1)]
     return mixed(np.concatenate(parts) + np.uint64(len(words))).astype(">u8").tobytes()
 
@@ -181,9 +183,13 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     """Links of the texts in each pair of blocks."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("key").sort_values("key").reset_index(drop=True)
         hashes = word_hashes()
-        sets = [shingles(hashes.of(t.encode().split())) for t in group["text"]]
+        # Another text with the same number may have come along.
+        words = [hashes.of((t or "").encode().split()) for t in group["text"]]
+        own = [key_of(w) == bytes(k) for w, k in zip(words, group["key"], strict=True)]
+        group = group.assign(words=words)[own].drop_duplicates("key").sort_values("key")
+        group = group.reset_index(drop=True)
+        sets = [shingles(w) for w in group["words"]]
         low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
         own = group["block"].to_numpy()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)

@@ -73,6 +73,14 @@ def test_repeated_rows_and_empty_table(make_docs, prose):
     assert near_copies(make_docs([])).collect() == []
 
 
+def test_different_texts_with_one_number(make_docs, prose):
+    rng = random.Random(2)
+    a, b = prose(1, 100), prose(2, 100)
+    rows = [(1, a), (1, b), (1, None), (2, edited(a, rng, 1)), (3, edited(b, rng, 1))]
+    got = near_copies(make_docs(rows).repartition(3)).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 0), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 @pytest.mark.parametrize("rare", [1, 24])
 def test_intersections(monkeypatch, rare):
     monkeypatch.setattr(jaccard_forest, "RARE", rare)
