@@ -41,11 +41,18 @@ from spikewatch.operators.windows import caused, pane_counts, spread
 TOP = float(2**53)
 # More enclosed doubles than this are not tabulated; such a block lists all its counts.
 MAX_ENCLOSED = 1024
+MOST_STEPS = 2**31
 
 
 def settling_steps(alpha: float) -> int:
-    """Steps after which any two averages in [0, TOP] differ by rounding only."""
-    return 1 if alpha == 1 else math.ceil(108 / -math.log2(1 - alpha))
+    """Steps after which any two averages in [0, TOP] differ by rounding only.
+
+    For the smallest alphas a number no history reaches, so that nothing is split.
+    """
+    if alpha == 1:
+        return 1
+    halvings = -math.log1p(-alpha) / math.log(2)
+    return math.ceil(108 / halvings) if halvings > 108 / MOST_STEPS else MOST_STEPS
 
 
 def warm_slots(cfg: SurgeConfig) -> int:

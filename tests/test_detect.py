@@ -252,3 +252,11 @@ def test_model_reproduces_late_goldens():
         (60, 20, 124.93, "N"),
     ]
     assert model.dropped == [] and sum(map(len, model.out.values())) == 50
+
+
+@pytest.mark.parametrize("alpha", [1.0, 0.5, 0.2, 1e-4, 1e-12, 1e-17, 5e-324])
+def test_any_alpha_settles(alpha):
+    steps = history.settling_steps(alpha)
+    assert 1 <= steps <= history.MOST_STEPS
+    if alpha >= 1e-4:
+        assert (1 - alpha) ** steps * history.TOP < 2**-54
