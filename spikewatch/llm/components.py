@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spikewatch.llm.tables import keep
@@ -11,11 +11,17 @@ from spikewatch.llm.tables import keep
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of the links ``a, b``; the least node names it.
 
+    A node should have a bounded number of links as ``a``; as ``b`` it may have any number.
+    First all that an ``a`` is linked to is linked to the least of it instead, which leaves
+    little more than one link per node of the many that similar nodes share.
     Every node takes the least name among its neighbours' and then that one's own name, which
     roughly doubles the distance names travel per round. Rounds end when no name changes.
     Each is written to the shared folder, so that lost executors cost one round at most.
     """
-    ends = links.filter("a != b").select("a", "b")
+    least = F.least("a", F.min("b").over(Window.partitionBy("a"))).alias("least")
+    stars = keep(links.filter("a != b").select("a", "b", least), "stars")
+    ends = stars.select("a", "least").union(stars.select("b", "least")).toDF("a", "b")
+    ends = ends.filter("a != b").distinct()
     both = keep(ends.union(ends.select("b", "a")).distinct(), "links")
     names = both.groupBy("a").agg(F.min("b").alias("b"))
     names = keep(names.select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "names")
