@@ -26,7 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spikewatch.llm.batches import binaries, offsets_of, pieces, ragged, text_sizes
+from spikewatch.llm.batches import binaries, pieces, ragged, text_sizes
 
 # Chunks a task remembers. Beyond it the memory starts afresh; results do not change.
 MOST_CHUNKS = 400_000
@@ -53,12 +53,27 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def read_vocabulary(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+@lru_cache(maxsize=2)
+def token_texts(path: str) -> list[str]:
+    """The text of each id, special tokens included; all that decoding needs."""
+    spec = read_vocabulary(path)
+    texts = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tokens = [""] * (max(texts.values()) + 1)
+    for token, number in texts.items():
+        tokens[number] = token
+    return tokens
+
+
 class Merges:
     """The vocabulary as arrays: byte symbols, sorted pair keys, their ranks and results."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = read_vocabulary(path)
         model = spec["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
         letters = byte_letters()
@@ -70,9 +85,6 @@ class Merges:
         self.keys, self.ranks = keys[order], order
         self.results = np.array([vocab[a + b] for a, b in pairs], np.int64)[order]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for token, number in [*vocab.items(), *self.special.items()]:
-            self.tokens[number] = token
 
     def symbols(self, word: bytes) -> list[int]:
         out = self.inner[np.frombuffer(word, np.uint8)].tolist()
@@ -292,7 +304,7 @@ def decode(packed: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = encoder(path).merges.tokens.__getitem__
+        token = token_texts(path).__getitem__
         for ids in batches:
             rows = (np.frombuffer(row or b"", "<u4").tolist() for row in ids.to_pylist())
             yield pa.array([" ".join(map(token, row)) for row in rows], pa.string())
