@@ -6,7 +6,7 @@ indexed: in the list of its nearest centroid, and, if it lies near a boundary, a
 of other centroids that are hardly farther and that no chosen centroid covers. Centroids
 are found by a beam search on their neighbour graph, held in memory; there are ``MOST_LISTS`` of
 them at most, whatever the input. A query reads the lists whose distance is within a ratio
-of the nearest one's.
+of the nearest one's, up to the same share of all lists however many there are.
 
 Equal vectors are one entry that keeps its smallest numbers, as many as a result can show, so
 copies cost nothing and lose nothing. Lists and their queries meet in blocks of bounded size.
@@ -30,13 +30,17 @@ from pyspark.sql import functions as F
 
 from spikewatch.llm.tables import keep
 
-# The sample the centroids are fitted on, and the vectors a list should have.
+# The sample the centroids are fitted on, at least so many and so many for each list, and the
+# vectors a list should have.
 SAMPLE = 20_000
+SAMPLE_PER_LIST = 8
 PER_LIST = 200
 MOST_LISTS = 4096
-# Neighbours of a centroid in the graph, and how many the search holds on to.
+# Neighbours of a centroid in the graph, and how many the search holds on to; a query's search
+# holds on to one in ``SHARE`` of the centroids if that is more.
 DEGREE = 24
 BEAM = 48
+SHARE = 16
 # A vector joins lists up to this ratio of its nearest distance, and so many at most.
 BOUNDARY = 1.15
 REPLICAS = 6
@@ -116,7 +120,6 @@ class Graph:
 
     centroids: np.ndarray
     near: np.ndarray
-    entries: np.ndarray
 
     @staticmethod
     def of(centroids: np.ndarray) -> Graph:
@@ -127,18 +130,23 @@ class Graph:
             part = centroids[at : at + 512] @ centroids.T
             part[np.arange(len(part)), at + np.arange(len(part))] = -np.inf
             near[at : at + 512] = np.argsort(-part, axis=1, kind="stable")[:, :degree]
-        entries = np.unique(np.linspace(0, n - 1, min(BEAM, n)).astype(np.int64))
-        return Graph(centroids, near, entries)
+        return Graph(centroids, near)
 
-    def search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def width(self, query: bool) -> int:
+        """How many centroids a search holds on to."""
+        n = len(self.centroids)
+        return min(max(BEAM, -(-n // SHARE)) if query else BEAM, n)
+
+    def search(self, points: np.ndarray, query: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroids of each point and their distances, nearest first.
 
         All beams advance together: in every round the neighbours of all held centroids are
         compared, until no beam changes.
         """
-        width = min(BEAM, len(self.centroids))
-        held = np.tile(self.entries, (len(points), 1))
-        scores = points @ self.centroids[self.entries].T
+        width = self.width(query)
+        entries = np.linspace(0, len(self.centroids) - 1, width).astype(np.int64)
+        held = np.tile(entries, (len(points), 1))
+        scores = points @ self.centroids[entries].T
         while True:
             more = self.near[held].reshape(len(points), -1)
             every = np.concatenate([held, more], axis=1)
@@ -170,7 +178,7 @@ class Graph:
 
     def reached_by(self, points: np.ndarray) -> list[list[int]]:
         """Lists a query reads."""
-        found, far = self.search(points)
+        found, far = self.search(points, True)
         within = far <= REACH * far[:, :1] + 1e-9
         return [row[use].tolist() for row, use in zip(found, within, strict=True)]
 
@@ -179,21 +187,23 @@ def _lists(vector: Column, graph: Graph, query: bool) -> Column:
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         place = graph.reached_by if query else graph.lists_of
+        # A wider search takes fewer points at once.
+        step = max(64 * BEAM // graph.width(query), 1) if graph.width(query) > BEAM else 64
         for vectors in batches:
             rows, found = vectors.to_pylist(), []
-            for at in range(0, len(rows), 64):
-                found += place(unit(matrix(rows[at : at + 64])))
+            for at in range(0, len(rows), step):
+                found += place(unit(matrix(rows[at : at + step])))
             yield pa.array(found, pa.list_(pa.int32()))
 
     return run(vector)
 
 
 def fit(entries: DataFrame, count: int) -> Graph:
-    """The graph of centroids from about ``SAMPLE`` of the distinct vectors."""
+    """The graph of centroids from a sample of the distinct vectors that grows with their lists."""
     lists = 1
     while lists * 2 * PER_LIST <= count and lists * 2 <= MOST_LISTS:
         lists *= 2
-    share = min(1.0, SAMPLE / max(count, 1))
+    share = min(1.0, max(SAMPLE, SAMPLE_PER_LIST * lists) / max(count, 1))
     pick = F.pmod(F.xxhash64("entry"), F.lit(1 << 30)) < int(share * (1 << 30))
     rows = sorted(bytes(r[0]) for r in entries.filter(pick).select("entry").collect())
     points = unit(matrix(rows))

@@ -93,3 +93,22 @@ def test_lists_are_even_and_found_by_the_graph():
     assert (np.diff(far, axis=1) >= -1e-12).all()
     lists = graph.lists_of(points[:500])
     assert {len(own) for own in lists} != {1} and max(map(len, lists)) <= posting_lists.REPLICAS
+
+
+def test_recall_with_many_more_lists_than_the_beam():
+    """The most lists there are: a fixed number read of them would miss neighbours."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(10, 32))
+    points = unit(centres[rng.integers(0, 10, 40_000)] + 0.8 * rng.normal(size=(40_000, 32)))
+    sample = points[: posting_lists.SAMPLE_PER_LIST * posting_lists.MOST_LISTS]
+    graph = Graph.of(balanced_centroids(sample, posting_lists.MOST_LISTS))
+    asked = points[-64:]
+    scores = asked @ points.T
+    scores[np.arange(64), np.arange(39_936, 40_000)] = -1
+    near = np.argsort(-scores, axis=1)[:, :5]
+    read = [reached for at in range(0, 64, 8) for reached in graph.reached_by(asked[at : at + 8])]
+    hits = sum(
+        bool(set(read[n]) & set(own)) for n in range(64) for own in graph.lists_of(points[near[n]])
+    )
+    assert hits / near.size >= 0.9
+    assert max(map(len, read)) <= posting_lists.MOST_LISTS // posting_lists.SHARE
