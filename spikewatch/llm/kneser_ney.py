@@ -12,9 +12,11 @@ chunk gets back one number per distinct gram; texts never move.
 
 A text's score is its mean negative log probability per character, drawn towards its
 language's median as by ``PRIOR`` more characters, so that short texts are judged with
-caution. The threshold of a language is the held-out trusted texts' quantile ``QUANTILE``,
-widened by its distance from their median; languages with fewer than ``FEWEST`` held-out
-texts, and unknown ones, have the threshold of all. ``perplexity`` is e to the score.
+caution. The threshold of a language is the quantile ``QUANTILE`` of its held-out trusted
+texts' scores, so that the share of clean texts lost is what lies above it. Texts too few to
+have one above the quantile (under 100 at 0.99) widen it by its distance from their median
+times the missing share, at 50 by half. Languages with fewer than ``FEWEST`` held-out texts,
+and unknown ones, have the threshold of all. ``perplexity`` is e to the score.
 
 Texts that are null or white space have no perplexity and are not kept. Without any trusted
 held-out text there is no threshold, and all others are kept. Several labels of a document
@@ -240,6 +242,33 @@ def _scores(table: DataFrame, trusted: DataFrame, shards: int) -> DataFrame:
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(score, SCORED)
 
 
+def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float]]:
+    """Median and threshold of each language with enough held-out texts."""
+    middles = (
+        tested.groupBy("lang")
+        .agg(
+            F.count("*").alias("texts"),
+            F.percentile_approx(F.col("nats") / F.col("n"), 0.5, 10_000).alias("middle"),
+        )
+        .filter(F.col("texts") >= fewest)
+        .orderBy(F.desc("texts"), "lang")
+        .limit(MOST_LANGUAGES)
+    )
+    score = (F.col("nats") + PRIOR * F.col("middle")) / (F.col("n") + PRIOR)
+    rows = (
+        tested.join(F.broadcast(middles), "lang")
+        .groupBy("lang", "texts", "middle")
+        .agg(F.percentile_approx(score, QUANTILE, 10_000).alias("high"))
+        .collect()
+    )
+    return {r["lang"]: (r["middle"], widened(r["texts"], r["middle"], r["high"])) for r in rows}
+
+
+def widened(texts: int, middle: float, high: float) -> float:
+    """The quantile, moved out by what share of one text lies above it."""
+    return high + max(0.0, 1 - texts * (1 - QUANTILE)) * (high - middle)
+
+
 def judge_documents(
     docs: DataFrame,
     labels: DataFrame,
@@ -275,24 +304,9 @@ def judge_documents(
     scores = keep(_scores(table, trusted.filter("NOT held"), shards), "scores")
     # Thresholds, from held-out trusted texts.
     tested = trusted.filter("held").join(scores.filter("n > 0"), ["chunk", "place"])
-    mean = F.col("nats") / F.col("n")
-    measures = [
-        F.count("*").alias("texts"),
-        F.percentile_approx(mean, 0.5, 10_000).alias("middle"),
-        F.percentile_approx(mean, QUANTILE, 10_000).alias("high"),
-    ]
-    overall = tested.agg(*measures).first()
-    own = (
-        tested.filter("lang IS NOT NULL")
-        .groupBy("lang")
-        .agg(*measures)
-        .filter(F.col("texts") >= FEWEST)
-        .orderBy(F.desc("texts"), "lang")
-        .limit(MOST_LANGUAGES)
-        .collect()
-    )
-    limits = {r["lang"]: (r["middle"], 2 * r["high"] - r["middle"]) for r in own}
-    rest = (overall["middle"], 2 * overall["high"] - overall["middle"]) if overall["texts"] else None
+    tested = keep(tested.drop("chunk", "place", "held"), "held-out")
+    limits = _limits(tested.filter("lang IS NOT NULL"), FEWEST)
+    rest = _limits(tested.withColumn("lang", F.lit("")), 1).get("")
 
     def attach(key: tuple, rows: pa.Table, scored: pa.Table) -> pa.Table:
         found = dict(

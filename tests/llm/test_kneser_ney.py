@@ -106,3 +106,13 @@ def test_without_labels_or_rows(spark, make_docs, prose):
 
 def test_grams_fit_a_long():
     assert ORDER * BITS < 64
+
+
+def test_threshold_is_the_quantile(spark, make_docs, prose):
+    docs = make_docs([(n, prose(1, 40 + n % 50)) for n in range(700)])
+    rows = judge_documents(docs, labelled(spark, [(n, 1, 0) for n in range(700)]))
+    rows = rows.selectExpr("*", "pmod(xxhash64(doc_id), 5) = 0 AS held").collect()
+    held = sorted(r.perplexity for r in rows if r.held)
+    assert len(held) > 100
+    assert rows[0].threshold == pytest.approx(held[math.ceil(0.99 * len(held)) - 1], rel=1e-9)
+    assert sum(r.accepted for r in rows) >= 0.96 * len(rows)
