@@ -18,6 +18,10 @@ have one above the quantile (under 100 at 0.99) widen it by its distance from th
 times the missing share, at 50 by half. Languages with fewer than ``FEWEST`` held-out texts,
 and unknown ones, have the threshold of all. ``perplexity`` is e to the score.
 
+As a mean hides a few foreign words in a long text, a text's worst stretch is judged too: the
+highest sum over ``STRETCH`` characters in a row, by its own threshold, found alike. A text
+is accepted if neither is above its threshold; the results show the first.
+
 Texts that are null or white space have no perplexity and are not kept. Without any trusted
 held-out text there is no threshold, and all others are kept. Several labels of a document
 count as trusted if all are. Repeated rows are scored each; an empty table gives no rows.
@@ -44,6 +48,8 @@ QUANTILE = 0.99
 FEWEST = 20
 PRIOR = 40
 HELD_OUT = 5
+# Characters of a stretch judged by itself.
+STRETCH = 8
 # Languages with a threshold of their own, the most frequent first; there are fewer in the world.
 MOST_LANGUAGES = 10_000
 
@@ -52,7 +58,7 @@ RESULTS = ("perplexity", "threshold", "accepted")
 SENT = "shard int, chunk long, count long, grams binary, uses binary"
 COUNTED = "shard int, gram long, uses long"
 REPLY = "chunk long, shard int, nats binary"
-SCORED = "chunk long, place long, nats double, n long"
+SCORED = "chunk long, place long, nats double, n long, worst double"
 
 
 def classes(text: str) -> np.ndarray:
@@ -88,6 +94,15 @@ def sharded(grams: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return order, shard[order].astype(np.int64)
 
 
+def worst_stretches(sums: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The highest sum over a stretch in each text, of all of it if it is shorter."""
+    out = np.zeros(len(ends) - 1)
+    for n, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        wide = min(STRETCH, b - a)
+        out[n] = (sums[a + wide : b + 1] - sums[a : b + 1 - wide]).max()
+    return out
+
+
 def _table(rows: list[dict], names: str) -> pa.Table:
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
     fields = [field.split(" ") for field in names.split(", ")]
@@ -191,7 +206,9 @@ def probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def _scores(table: DataFrame, trusted: DataFrame, shards: int) -> DataFrame:
-    """``chunk, place, nats, n`` of every row: the sum of nats and how many characters."""
+    """``chunk, place, nats, n, worst`` of every row: the sum of nats, how many characters,
+    and the highest sum of a stretch.
+    """
 
     def distinct(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(grams_of(texts)[0], return_counts=True)
@@ -223,9 +240,10 @@ def _scores(table: DataFrame, trusted: DataFrame, shards: int) -> DataFrame:
         pairs = zip(replies["shard"].to_pylist(), replies["nats"].to_pylist(), strict=True)
         nats = np.empty(len(grams))
         nats[order] = np.frombuffer(b"".join(n for _, n in sorted(pairs)), "<f4")
-        sums = np.r_[0, np.cumsum(nats[at])][offsets_of(lengths)]
-        columns = [rows["chunk"], rows["place"], pa.array(np.diff(sums)), pa.array(lengths)]
-        return pa.Table.from_arrays(columns, names=["chunk", "place", "nats", "n"])
+        sums, ends = np.r_[0, np.cumsum(nats[at])], offsets_of(lengths)
+        totals, worst = np.diff(sums[ends]), worst_stretches(sums, ends)
+        columns = [rows["chunk"], rows["place"], *map(pa.array, (totals, lengths, worst))]
+        return pa.Table.from_arrays(columns, names=["chunk", "place", "nats", "n", "worst"])
 
     texts = table.select("chunk", "place", "text")
     by_chunk = texts.groupBy("chunk")
@@ -242,8 +260,8 @@ def _scores(table: DataFrame, trusted: DataFrame, shards: int) -> DataFrame:
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(score, SCORED)
 
 
-def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float]]:
-    """Median and threshold of each language with enough held-out texts."""
+def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float, float]]:
+    """Median, threshold and the worst stretch's threshold of each language with enough held-out texts."""
     middles = (
         tested.groupBy("lang")
         .agg(
@@ -258,10 +276,20 @@ def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float]]:
     rows = (
         tested.join(F.broadcast(middles), "lang")
         .groupBy("lang", "texts", "middle")
-        .agg(F.percentile_approx(score, QUANTILE, 10_000).alias("high"))
+        .agg(
+            F.percentile_approx(score, QUANTILE, 10_000).alias("high"),
+            F.percentile_approx("worst", [0.5, QUANTILE], 10_000).alias("worst"),
+        )
         .collect()
     )
-    return {r["lang"]: (r["middle"], widened(r["texts"], r["middle"], r["high"])) for r in rows}
+    return {
+        r["lang"]: (
+            r["middle"],
+            widened(r["texts"], r["middle"], r["high"]),
+            widened(r["texts"], *r["worst"]),
+        )
+        for r in rows
+    }
 
 
 def widened(texts: int, middle: float, high: float) -> float:
@@ -312,20 +340,21 @@ def judge_documents(
         found = dict(
             zip(
                 scored["place"].to_pylist(),
-                zip(scored["nats"].to_pylist(), scored["n"].to_pylist(), strict=True),
+                zip(*(scored[name].to_pylist() for name in ("nats", "n", "worst")), strict=True),
                 strict=True,
             )
         )
         perplexity, threshold, accepted = [], [], []
         for place, name in zip(rows["place"].to_pylist(), rows["lang"].to_pylist(), strict=True):
-            nats, n = found[place]
-            middle, high = limits.get(name, rest) or (None, None)
+            nats, n, worst = found[place]
+            middle, high, most = limits.get(name, rest) or (None, None, None)
             score = None
             if n:
                 score = nats / n if middle is None else (nats + PRIOR * middle) / (n + PRIOR)
             perplexity.append(None if score is None else float(np.exp(min(score, 700))))
             threshold.append(None if high is None else float(np.exp(high)))
-            accepted.append(score is not None and (high is None or score <= high))
+            within = high is None or (score is not None and score <= high and worst <= most)
+            accepted.append(score is not None and within)
         results = [pa.array(perplexity, pa.float64()), pa.array(threshold, pa.float64())]
         results.append(pa.array(accepted, pa.bool_()))
         given = [rows[f"c{n}"] for n in range(n_columns)]

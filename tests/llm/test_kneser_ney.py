@@ -116,3 +116,14 @@ def test_threshold_is_the_quantile(spark, make_docs, prose):
     assert len(held) > 100
     assert rows[0].threshold == pytest.approx(held[math.ceil(0.99 * len(held)) - 1], rel=1e-9)
     assert sum(r.accepted for r in rows) >= 0.96 * len(rows)
+
+
+def test_foreign_words_are_not_averaged_away(spark, make_docs, prose):
+    good = [prose(1, 300) + "."] + [prose(1, 60 + n) + "." for n in range(240)]
+    words = good[0].split()
+    planted = [" ".join([*words[:n], "qzxwvkjq", *words[n:]]) for n in (3, 150, 290)]
+    docs = make_docs(list(enumerate(good + planted)))
+    rows = judge_documents(docs, labelled(spark, [(n, 1, 0) for n in range(241)]))
+    rows = rows.orderBy("doc_id").collect()
+    assert all(r.perplexity <= r.threshold and not r.accepted for r in rows[241:])
+    assert sum(r.accepted for r in rows[:241]) >= 235
