@@ -20,7 +20,8 @@ and unknown ones, have the threshold of all. ``perplexity`` is e to the score.
 
 As a mean hides a few foreign words in a long text, a text's worst stretch is judged too: the
 highest sum over ``STRETCH`` characters in a row, by its own threshold, found alike. A text
-is accepted if neither is above its threshold; the results show the first.
+is accepted if neither is above its threshold; the results show the first. With fewer than
+``FEWEST`` held-out texts in all, the worst stretch is not judged.
 
 Texts that are null or white space have no perplexity and are not kept. Without any trusted
 held-out text there is no threshold, and all others are kept. Several labels of a document
@@ -286,7 +287,7 @@ def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float, flo
         r["lang"]: (
             r["middle"],
             widened(r["texts"], r["middle"], r["high"]),
-            widened(r["texts"], *r["worst"]),
+            widened(r["texts"], *r["worst"]) if r["texts"] >= FEWEST else float("inf"),
         )
         for r in rows
     }
