@@ -159,3 +159,62 @@ classes AS (
 degrees AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
 SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links
 FROM docs d JOIN classes USING (r) LEFT JOIN degrees USING (r)"""
+
+
+def vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Product quantisation in whole numbers, all parts against all entries."""
+    assigned = """
+        SELECT p.n, p.part, min(d * 256 + entry) AS best
+        FROM (
+            SELECT p.n, p.part, b.entry, list_sum(list_transform(
+                list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+            FROM parts AS p JOIN book{round} AS b ON p.part = b.part
+        ) AS p
+        GROUP BY p.n, p.part"""
+    moved = """
+        SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+        FROM book{round} AS b LEFT JOIN (
+            SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY pos) AS v
+            FROM (
+                SELECT p.part, a.best % 256 AS entry, p.pos, sum(p.x)::BIGINT AS s, count(*) AS c
+                FROM (SELECT n, part, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM parts) AS p
+                JOIN best{round} AS a ON a.n = p.n AND a.part = p.part
+                GROUP BY ALL
+            ) GROUP BY part, entry
+        ) AS m ON m.part = b.part AND m.entry = b.entry"""
+    steps = []
+    for n in range(rounds):
+        steps.append(f"best{n} AS MATERIALIZED ({assigned.format(round=n)})")
+        steps.append(f"book{n + 1} AS MATERIALIZED ({moved.format(round=n)})")
+    steps.append(f"best{rounds} AS MATERIALIZED ({assigned.format(round=rounds)})")
+    return f"""
+    WITH finite AS (
+        SELECT vec_id, label, embedding FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % {parts} = 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    common AS (
+        SELECT len(embedding) AS size FROM finite GROUP BY ALL ORDER BY count(*) DESC, size LIMIT 1
+    ),
+    kept AS MATERIALIZED (
+        SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n,
+            list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v
+        FROM finite WHERE len(embedding) = (SELECT size FROM common)
+    ),
+    parts AS MATERIALIZED (
+        SELECT n, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS v
+        FROM kept, unnest(range({parts})) AS t(part)
+    ),
+    book0 AS MATERIALIZED (SELECT part, n - 1 AS entry, v FROM parts WHERE n <= {entries}),
+    {", ".join(steps)},
+    coded AS (
+        SELECT k.vec_id, k.label, string_agg(format('{{:02x}}', b.best % 256), '' ORDER BY part) AS code,
+            sum(b.best // 256)::BIGINT AS error
+        FROM kept AS k JOIN best{rounds} AS b ON b.n = k.n GROUP BY k.n, k.vec_id, k.label
+    ),
+    totals AS (SELECT label, sum(error)::BIGINT AS label_error FROM coded GROUP BY label)
+    SELECT c.vec_id, c.code, c.error, t.label_error, (
+        SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM (
+            SELECT part, entry, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM book{rounds})
+        ) AS codebooks_sha256
+    FROM coded AS c JOIN totals AS t ON c.label IS NOT DISTINCT FROM t.label"""

@@ -16,10 +16,13 @@ from spikewatch.llm import (
     language,
     oracle,
     packing,
+    periodic_runs,
     posting_lists,
     quality_rules,
     substrings,
     token_counts,
+    toxicity,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +138,53 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, with the error of all that share its label."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codes, books = vector_codes.compress(rows)
+    digest = F.lit("" if books is None else books.digest())
+    return codes.select(
+        "vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256")
+    )
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labels."""
+    number = F.col("doc_id").cast("string").cast("binary")
+    held_out = F.crc32(number) % 5 == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.filter(~held_out), labels.filter(~held_out))
+    found = docs.select(
+        "doc_id", held_out.alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("found")
+    )
+    return found.select("doc_id", "held_out", "found.score", "found.predicted")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, some documents being given a repeating tail."""
+    docs = table(spark, sf_dir, "documents")
+    text = periodic_runs.with_repeating_tails(F.col("text"), F.col("doc_id"))
+    found = docs.select("doc_id", periodic_runs.find_runs(text).alias("found"))
+    rows = found.select("doc_id", "found.runs", "found.collapsed")
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"]))
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return rows.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.less")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.expr("(1000 * -longest.less) div longest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
@@ -146,6 +196,9 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language": op10_language,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_toxicity": op12_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Token ids, language models, packing and approximate search are beyond SQL; the tests compare
@@ -155,4 +208,5 @@ SQL: dict[str, str] = {
     "op4_quality_rules": oracle.QUALITY,
     "op8_url_filter": oracle.urls(URL_RULES),
     "op9_jaccard_join": oracle.JACCARD,
+    "op11_vector_codes": oracle.vector_codes(),
 }
