@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 
 from spikewatch.config import SurgeConfig
 
+# Event times admitted: the years 1000 to 2999. A stream cannot tell others from no watermark.
+EARLIEST_MS, BEYOND_MS = -30_610_224_000_000, 32_503_680_000_000
+
+
+def admitted(ms: Column) -> Column:
+    """Whether an event time lies in the years admitted."""
+    return (ms >= EARLIEST_MS) & (ms < BEYOND_MS)
+
 
 def align_down(ms: Column, step_ms: int) -> Column:
     """Largest multiple of the step at or below ``ms``; right before 1970 too."""

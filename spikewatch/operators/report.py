@@ -35,7 +35,7 @@ def in_order(alerts: DataFrame) -> DataFrame:
     return alerts.orderBy("timestamp", "row_order")
 
 
-def _last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def last_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row per key. Tasks keep one row per key before anything is shuffled."""
     newest_first = Window.partitionBy(*keys).orderBy(*(F.desc(name) for name in order))
     ranked = rows.withColumn("_place", F.row_number().over(newest_first))
@@ -44,13 +44,13 @@ def _last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def last_evaluations(alerts: DataFrame) -> DataFrame:
     """The last row per window end and zone, so a re-evaluation replaces its first result."""
-    kept = _last(alerts, ["timestamp", "zone"], ["row_order"])
+    kept = last_rows(alerts, ["timestamp", "zone"], ["row_order"])
     return kept.select(
         "timestamp", "zone", "request_count", "ema_baseline", "status", "row_order"
     )
 
 
-def _displayed(rows: DataFrame, cfg: SurgeConfig | None) -> DataFrame:
+def displayed(rows: DataFrame, cfg: SurgeConfig | None) -> DataFrame:
     cfg = cfg or SurgeConfig()
     start = F.timestamp_millis(F.unix_millis("timestamp") - F.lit(cfg.window_ms))
     above_zero = F.col("ema_baseline") > 0
@@ -66,7 +66,7 @@ def _displayed(rows: DataFrame, cfg: SurgeConfig | None) -> DataFrame:
 
 def display_rows(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFrame:
     """Last evaluations with window start, pressure against the baseline, label and rank."""
-    return _displayed(last_evaluations(alerts), cfg)
+    return displayed(last_evaluations(alerts), cfg)
 
 
 def latest_display(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFrame:
@@ -75,8 +75,8 @@ def latest_display(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFra
     A zone's last row of all is also its last evaluation, so the log need not be reduced to
     last evaluations first, and one row per zone and task is shuffled.
     """
-    last = _last(alerts, ["zone"], ["timestamp", "row_order"])
-    return _displayed(
+    last = last_rows(alerts, ["zone"], ["timestamp", "row_order"])
+    return displayed(
         last.select("timestamp", "zone", "request_count", "ema_baseline", "status", "row_order"),
         cfg,
     )
@@ -85,7 +85,7 @@ def latest_display(alerts: DataFrame, cfg: SurgeConfig | None = None) -> DataFra
 def latest_by_zone(display: DataFrame) -> DataFrame:
     """Each zone's last row, surges first, then by count and name."""
     others = [c for c in display.columns if c != "zone"]
-    last = _last(display, ["zone"], ["timestamp", "row_order"])
+    last = last_rows(display, ["zone"], ["timestamp", "row_order"])
     return last.select("zone", *others).orderBy("status_rank", F.desc("request_count"), "zone")
 
 
@@ -130,11 +130,17 @@ def summary_metrics(display: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("windows"),
         F.count_if(surging).alias("surges"),
         F.max("request_count").alias("peak"),
-        F.max_by("status", F.struct("timestamp", "row_order")).alias("status"),
+        # There is one row per zone and time.
+        F.max_by(surging, F.unix_micros("timestamp")).alias("surging"),
     )
+    return summed(per_zone)
+
+
+def summed(per_zone: DataFrame) -> DataFrame:
+    """The summary from ``windows, surges, peak, surging`` of every zone."""
     return per_zone.agg(
         F.coalesce(F.sum("windows"), F.lit(0)).alias("window_snapshots"),
-        F.count_if(surging).alias("active_zone_surges"),
+        F.count_if("surging").alias("active_zone_surges"),
         F.coalesce(F.sum("surges"), F.lit(0)).alias("surge_alerts"),
         F.coalesce(F.max("peak"), F.lit(0)).alias("peak_request_count"),
     )

@@ -7,6 +7,7 @@ decimals, so that results can be compared by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,10 +20,12 @@ from spikewatch.operators.lateness import audit_arrivals, late_lines, lateness_s
 from spikewatch.operators.schedule import annotate_schedule
 from spikewatch.operators.windows import window_counts, window_counts_builtin
 from spikewatch.plans.detect import as_alerts, detect
-from spikewatch.plans.jobs import start_job
+from spikewatch.plans.jobs import requests_of, start_job
+from spikewatch.plans.standing import Standing
 from spikewatch.session import configure, shared_dir
 from spikewatch.sources.alert_log import (
     alert_line,
+    alerts_between,
     log_lines,
     log_quality,
     parse_alerts,
@@ -31,7 +34,7 @@ from spikewatch.sources.alert_log import (
     valid_alerts,
     write_batch,
 )
-from spikewatch.sources.lines import read_lines
+from spikewatch.sources.lines import read_lines, stream_lines
 from spikewatch.sources.requests import (
     accepted,
     parse_requests,
@@ -160,7 +163,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
     explicit = F.format_string('"event_time_millis":%d', F.col("event_time_millis"))
-    way = F.floor(number / 97) % 17
+    way = F.floor(number / 97) % 18
     nested = F.lit('{"a":' * 9 + "1" + "}" * 9 + " trailing")
     damaged = (
         F.when(way == 0, F.concat(F.lit("{"), ride, F.lit(","), zone))
@@ -179,6 +182,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(way == 13, line(ride, zone, F.lit('"timestamp":"12:30"'), late))
         .when(way == 14, line(ride, zone, F.lit('"timestamp":"2024"'), late))
         .when(way == 15, line(ride, zone, F.lit('"timestamp":"2024-01-05T10:00:00 America/New_York"')))
+        .when(way == 16, line(ride, zone, F.lit('"timestamp":"9999-12-31T00:00:00Z"'), late))
         .otherwise(line(ride, zone, F.lit('"timestamp":"soon"'), explicit))
     )
     whole = F.when(number % 5 == 0, line(ride, zone, time, explicit, late)).otherwise(
@@ -520,40 +524,127 @@ def stream_refire_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, sf_dir, "refire", flush=True)
 
 
-# Seconds of arrivals in one part of the replay.
-PART_S = 10 * DAY
+# Seconds of arrivals in one part of a replay; shorter ones drop more.
+PART_S, SHORT_PART_S = 10 * DAY, 5 * DAY
 
 
-def _replayed(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    """Replay in arrival order, ten days at a time: late rows come with later parts."""
+def _replayed(
+    spark: SparkSession,
+    sf_dir: str,
+    mode: str,
+    fmt: str = "parquet",
+    part_s: int = PART_S,
+    **outputs: str,
+) -> str:
+    """The log of a stream of text lines in arrival order: a folder of files for every part
+    and micro-batch, so that late rows come with later batches."""
     configure(spark)
-    staged, feed = shared_dir(spark, "replay"), shared_dir(spark, "feed")
-    path, checkpoint = shared_dir(spark, "replay-log"), shared_dir(spark, "replay-checkpoint")
+    feed, path = shared_dir(spark, "feed"), shared_dir(spark, "replay-log")
+    line = F.to_json(F.struct("ride_id", "zone_id", "timestamp", "is_simulated_late"))
     arrivals(spark, sf_dir).select(
-        "zone_id",
-        F.timestamp_millis("event_time_millis").alias("event_time"),
-        F.floor(F.col("arrival") / PART_S).alias("part"),
-    ).write.partitionBy("part").parquet(staged)
-    whole = spark.read.parquet(staged)
-    span = whole.agg(F.min("part").alias("first"), F.max("part").alias("last")).first()
-    for number in range(span["first"], span["last"] + 1) if span["first"] is not None else ():
-        part = whole.filter(F.col("part") == number).drop("part")
-        part.write.mode("append").parquet(feed)
-        stream = spark.readStream.schema(part.schema).parquet(feed)
-        start_job(
-            stream, path, checkpoint, LATE, mode, "parquet", until_caught_up=True
-        ).awaitTermination()
-    return _stored(spark, path)
+        line.alias("value"),
+        F.format_string("%08d", F.floor(F.col("arrival") / part_s)).alias("part"),
+    ).write.partitionBy("part").text(feed)
+    checkpoint = shared_dir(spark, "replay-checkpoint")
+    lines = stream_lines(
+        spark, "growing_lines", path=feed, folderPerBatch="true", checkpoint=checkpoint
+    )
+    job = start_job(requests_of(lines), path, checkpoint, LATE, mode, fmt, **outputs)
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    return path
 
 
 def stream_refire_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows make windows fire again, or are dropped."""
-    return _replayed(spark, sf_dir, "refire")
+    return _stored(spark, _replayed(spark, sf_dir, "refire"))
 
 
 def stream_final_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows count in the windows still open."""
-    return _replayed(spark, sf_dir, "final")
+    return _stored(spark, _replayed(spark, sf_dir, "final"))
+
+
+def _late_lines(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    late = shared_dir(spark, "late-requests")
+    _replayed(spark, sf_dir, mode, part_s=SHORT_PART_S, late_path=late)
+    return read_lines(spark, late).select("value")
+
+
+def stream_refire_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the requests that a running stream dropped."""
+    return _late_lines(spark, sf_dir, "refire")
+
+
+def stream_final_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_lines(spark, sf_dir, "final")
+
+
+def stream_log_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of lines read back: each zone's rows are in the order they were emitted in."""
+    log = log_lines(spark, _replayed(spark, sf_dir, "refire", "json"))
+    place = F.row_number().over(Window.partitionBy("zone").orderBy("row_order")) - 1
+    return valid_alerts(parse_alerts(log)).select(
+        "zone",
+        iso_utc(F.unix_millis("timestamp")).alias("window_end"),
+        "request_count",
+        "ema_baseline",
+        "status",
+        place.cast("bigint").alias("emit_seq"),
+    )
+
+
+# Days of a log divided by date.
+SOME_DAYS = (datetime(2024, 1, 9, 6, tzinfo=UTC), datetime(2024, 1, 16, tzinfo=UTC))
+
+
+def log_some_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of some days; other days of the log are not read."""
+    path = shared_dir(spark, "dated-log")
+    alerts = as_alerts(detect(events(spark, sf_dir), BY_USER, key="user_id"))
+    write_batch(alerts, path, 0, by_date=True)
+    return alerts_between(spark, path, *SOME_DAYS).select(
+        iso_utc(F.unix_millis("timestamp")).alias("window_end"),
+        "zone",
+        "request_count",
+        "ema_baseline",
+        "status",
+    )
+
+
+# Reports kept up to date per micro-batch.
+
+
+def _standing(spark: SparkSession, sf_dir: str) -> Standing:
+    path = shared_dir(spark, "standing")
+    _replayed(spark, sf_dir, "refire", part_s=SHORT_PART_S, report_path=path)
+    return Standing(spark, path, LATE)
+
+
+def standing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last evaluation of every window, those settled long ago and those still open."""
+    return _standing(spark, sf_dir).display_rows().select(
+        "zone",
+        iso_utc(F.unix_millis("timestamp")).alias("window_end"),
+        "request_count",
+        "ema_baseline",
+        "status",
+        F.col("row_order.emit_seq").alias("emit_seq"),
+    )
+
+
+def standing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _standing(spark, sf_dir).summary_metrics()
+
+
+def standing_zone_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.zone_status_table(_standing(spark, sf_dir).latest_display())
+
+
+def standing_surge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _standing(spark, sf_dir).surge_counts()
 
 
 QUERIES: dict[str, Query] = {
@@ -602,5 +693,13 @@ QUERIES: dict[str, Query] = {
         stream_final_late,
         stream_final_flush,
         stream_refire_flush,
+        stream_refire_dropped,
+        stream_final_dropped,
+        stream_log_order,
+        log_some_days,
+        standing_rows,
+        standing_summary,
+        standing_zone_status,
+        standing_surge_counts,
     )
 }

@@ -15,6 +15,8 @@ from spikewatch.plans.catalog import (
     LATE,
     PART_S,
     RERUN_FROM,
+    SHORT_PART_S,
+    SOME_DAYS,
     TUMBLING,
     UNEVEN,
     WEEKLY,
@@ -108,7 +110,7 @@ lines AS (
   SELECT CASE WHEN event_id % 97 <> 0 THEN
       CASE WHEN event_id % 5 = 0 THEN {_line(RIDE, ZONE, TIME, MILLIS, FLAG)}
       ELSE {_line(RIDE, ZONE, TIME, FLAG)} END
-    ELSE CASE (event_id // 97) % 17
+    ELSE CASE (event_id // 97) % 18
       WHEN 0 THEN '{{' || {RIDE} || ',' || {ZONE}
       WHEN 1 THEN {_line(RIDE, TIME, FLAG)}
       WHEN 2 THEN {_line(RIDE, ZONE, SOON, FLAG)}
@@ -125,6 +127,7 @@ lines AS (
       WHEN 13 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"12:30"' + "'", FLAG)}
       WHEN 14 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"2024"' + "'", FLAG)}
       WHEN 15 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"2024-01-05T10:00:00 America/New_York"' + "'")}
+      WHEN 16 THEN {_line(RIDE, ZONE, "'" + '"timestamp":"9999-12-31T00:00:00Z"' + "'", FLAG)}
       ELSE {_line(RIDE, ZONE, SOON, MILLIS)} END END AS value
   FROM events)"""
 
@@ -155,7 +158,10 @@ absent AS (
 parsed AS (
   SELECT *, CASE WHEN NOT ok THEN 'Malformed JSON'
     WHEN names <> '' THEN 'Missing required event fields: ' || names
-    WHEN event_time_millis IS NULL THEN 'Unreadable event time' END AS reject_reason FROM absent)"""
+    WHEN event_time_millis IS NULL THEN 'Unreadable event time'
+    WHEN event_time_millis < epoch_ms(TIMESTAMP '1000-01-01')
+      OR event_time_millis >= epoch_ms(TIMESTAMP '3000-01-01')
+      THEN 'Event time outside the years 1000 to 2999' END AS reject_reason FROM absent)"""
 
 # Alerts and their log.
 
@@ -288,15 +294,15 @@ FROM out WHERE t <= (SELECT max({MS}) FROM events) - {delay_ms}"""
 # part is through, windows up to its own watermark fire.
 
 
-def _parts(delay_ms: int) -> str:
+def _parts(delay_ms: int, part_s: int = PART_S) -> str:
     """CTEs up to ``judged(zone, e, p, wm, next_t, last_t)`` and ``marks(p, wm, before)``."""
     w, s = LATE.window_ms, LATE.slide_ms
     return f"""{ARRIVALS},
-parted AS (SELECT zone, e, arrival // {PART_S} AS p FROM arrived),
+parted AS (SELECT event_id, flag, zone, e, arrival // {part_s} AS p FROM arrived),
 newest AS (SELECT p, max(max(e)) OVER (ORDER BY p) - {delay_ms} AS wm FROM parted GROUP BY p),
 marks AS (SELECT p, wm, lag(wm) OVER (ORDER BY p) AS before FROM newest),
 judged AS (
-  SELECT zone, e, p, m.before AS wm, {floor_to('e', s)} + {s} AS next_t,
+  SELECT event_id, flag, zone, e, p, m.before AS wm, {floor_to('e', s)} + {s} AS next_t,
     greatest({floor_to('e', s)} + {s}, {floor_to(f'e + {w - 1}', s)}) AS last_t
   FROM parted JOIN marks m USING (p)),
 firsts AS (SELECT zone, p, min(min(e)) OVER (PARTITION BY zone ORDER BY p) AS first_e
@@ -337,10 +343,10 @@ counted AS (
 {_averaged('t')}"""
 
 
-def replay_refire() -> str:
+def replay_refire(part_s: int = PART_S) -> str:
     """Passes are numbered ``2 p`` for late rows' windows and ``2 p + 1`` for the new ones."""
     w, s, late = LATE.window_ms, LATE.slide_ms, LATE.lateness_ms
-    return f"""WITH RECURSIVE {_parts(LATE.watermark_ms)},
+    return f"""WITH RECURSIVE {_parts(LATE.watermark_ms, part_s)},
 admitted AS (SELECT * FROM judged WHERE wm IS NULL OR wm <= last_t + {late}),
 caused AS (SELECT zone, p, wm, unnest(range(next_t, last_t + 1, {s})) AS t FROM admitted),
 fired AS (
@@ -363,6 +369,25 @@ counted AS (
 {_averaged('pass, t')}"""
 
 
+def dropped(delay_ms: int, too_late: str) -> str:
+    """Lines of the events of a replay for which ``too_late`` holds."""
+    return f"""WITH {_parts(delay_ms, SHORT_PART_S)}
+SELECT 'LATE_EVENT | zone=' || zone || ' | ride_id=' || event_id || ' | timestamp=' || ({iso('e')})
+  || ' | is_simulated_late=' || flag AS value FROM judged WHERE {too_late}"""
+
+
+def standing(select: str) -> str:
+    """A report over the last evaluations ``last_rows`` of a replay and each zone's ``latest``."""
+    return f"""WITH fired AS ({replay_refire(SHORT_PART_S)}),
+last_rows AS (
+  SELECT * FROM fired
+  QUALIFY row_number() OVER (PARTITION BY zone, window_end ORDER BY emit_seq DESC) = 1),
+latest AS (
+  SELECT *, replace(zone, '_', ' ') AS label, request_count / ema_baseline AS ratio FROM last_rows
+  QUALIFY row_number() OVER (PARTITION BY zone ORDER BY window_end DESC) = 1)
+{select}"""
+
+
 SQL: dict[str, str] = {
     "detect_by_event_type": detection(BY_EVENT_TYPE, BY_TYPE),
     "detect_by_user": detection(BY_USER_ID, BY_USER),
@@ -486,4 +511,30 @@ SELECT event_id, zone AS zone_id, cycle_ms, extra, 1 + extra AS expected_load FR
     "stream_refire_flush": closed(-(10**15)),
     "stream_refire_late": replay_refire(),
     "stream_final_late": replay_final(),
+    "stream_refire_dropped": dropped(LATE.watermark_ms, f"wm > last_t + {LATE.lateness_ms}"),
+    # The last end that the event's pane reaches has passed.
+    "stream_final_dropped": dropped(
+        LATE.watermark_ms + LATE.lateness_ms,
+        floor_to(f"({floor_to('e', LATE.pane_ms)} + {LATE.window_ms})", LATE.slide_ms) + " <= wm",
+    ),
+    "stream_log_order": replay_refire(),
+    "log_some_days": f"""WITH RECURSIVE {evaluated(BY_USER_ID, BY_USER)}
+SELECT {iso('t')} AS window_end, zone, c AS request_count, {CENTS} AS ema_baseline, status
+FROM out WHERE t >= {int(SOME_DAYS[0].timestamp() * 1000)} AND t < {int(SOME_DAYS[1].timestamp() * 1000)}""",
+    "standing_rows": standing("SELECT * FROM last_rows"),
+    "standing_summary": standing(
+        """SELECT (SELECT count(*) FROM last_rows) AS window_snapshots,
+  (SELECT count(*) FROM latest WHERE status = 'SURGE_ALERT') AS active_zone_surges,
+  (SELECT count(*) FROM last_rows WHERE status = 'SURGE_ALERT') AS surge_alerts,
+  (SELECT coalesce(max(request_count), 0) FROM last_rows) AS peak_request_count"""
+    ),
+    "standing_zone_status": standing(
+        f"""SELECT label AS "Zone", request_count AS "Requests",
+  {to_digits('ema_baseline', 1)} AS "Baseline", {to_digits('ratio', 2)} AS "Pressure",
+  status AS "Status" FROM latest"""
+    ),
+    "standing_surge_counts": standing(
+        "SELECT replace(zone, '_', ' ') AS zone, count(*) AS surge_alerts FROM last_rows "
+        "WHERE status = 'SURGE_ALERT' GROUP BY 1"
+    ),
 }

@@ -28,6 +28,9 @@ ALERT = T.StructType(
     ]
 )
 
+# What a late request's line shows.
+LATE_REQUEST = T.StructType([f for f in RIDE_REQUEST.fields if f.name != "event_time_millis"])
+
 SCHEDULE = T.StructType(
     [
         T.StructField("zone", T.StringType()),

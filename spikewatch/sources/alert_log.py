@@ -7,7 +7,7 @@ the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +34,11 @@ PARSER = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
 COLUMNS = ["timestamp", "zone", "request_count", "ema_baseline", "status"]
 
 
+def date_of() -> Column:
+    """The date a log may be divided by; times are UTC."""
+    return F.to_date("timestamp")
+
+
 def alert_line() -> Column:
     """Compact JSON text of an alert row, keys in alphabetical order.
 
@@ -63,14 +68,30 @@ def _read_text(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def log_lines(spark: SparkSession, path: str) -> DataFrame:
+def within_dates(rows: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
+    """Leave dates outside ``[start, end)`` unread, if the log is divided by date."""
+    if "date" not in rows.columns:
+        return rows
+    if start is not None:
+        rows = rows.filter(F.col("date") >= F.lit(start.date()))
+    if end is not None:
+        rows = rows.filter(F.col("date") <= F.lit(end.date()))
+    return rows
+
+
+def log_lines(
+    spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
     """Non-blank lines with ``row_order``, their order in the log; empty if there is no log.
 
-    ``row_order`` is (micro-batch, file, block, line), so that later batches come last.
+    ``row_order`` is (micro-batch, file, block, line), so that later batches come last. Of a
+    log divided by date only the dates from ``start`` to ``end`` (in UTC) are read; lines of
+    those days outside the two times are still there.
     """
     text = _read_text(spark, path)
     if text is None:
         return spark.createDataFrame([], "value string, row_order struct<batch:bigint>")
+    text = within_dates(text, start, end)
     batch = F.col("emit_batch") if "emit_batch" in text.columns else F.lit(0)
     order = F.struct(
         batch.cast("bigint").alias("batch"),
@@ -123,6 +144,14 @@ def valid_alerts(parsed: DataFrame) -> DataFrame:
     )
 
 
+def alerts_between(
+    spark: SparkSession, path: str, start: datetime, end: datetime
+) -> DataFrame:
+    """Valid rows of a log of lines whose window ends in ``[start, end)``, with ``row_order``."""
+    rows = valid_alerts(parse_alerts(log_lines(spark, path, start, end)))
+    return rows.filter((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
+
+
 def log_quality(parsed: DataFrame, order: str = "row_order") -> DataFrame:
     """One row: ``valid_lines, malformed_lines, last_error``."""
     bad = F.col("error").isNotNull()
@@ -160,40 +189,51 @@ def log_status(spark: SparkSession, path: str) -> DataFrame:
     return status
 
 
+def write_owned(
+    rows: DataFrame, path: str, batch_id: int, fmt: str, by: tuple[str, ...] = ()
+) -> None:
+    """Write rows as the folder ``emit_batch=<batch_id>``, divided further by columns ``by``.
+
+    The first batch truncates what is at ``path``; every later one replaces its own folder.
+    """
+    if batch_id == 0:
+        rows = rows.withColumn("emit_batch", F.lit(batch_id).cast("bigint"))
+        writer = rows.write.partitionBy("emit_batch", *by)
+        writer = writer.option("partitionOverwriteMode", "static")
+    else:
+        # The folder itself, so that a batch without rows empties it too.
+        path = f"{path.rstrip('/')}/emit_batch={batch_id}"
+        writer = rows.write.partitionBy(*by) if by else rows.write
+    writer.mode("overwrite").format(fmt).save(path)
+
+
 def write_batch(
-    alerts: DataFrame, path: str, batch_id: int, fmt: str = "json", files: int | None = None
+    alerts: DataFrame,
+    path: str,
+    batch_id: int,
+    fmt: str = "json",
+    files: int | None = None,
+    by_date: bool = False,
 ) -> None:
     """Write one batch of alert rows as ``emit_batch=<batch_id>``.
 
     The first batch truncates the log; every later one replaces only its own folder.
     Rows are kept in ``emit_seq`` order per key where that column exists. ``files``
-    bounds the number of files, which otherwise is that of the shuffle partitions.
+    bounds the number of files, which otherwise is that of the shuffle partitions. With
+    ``by_date`` a batch is divided by the date of the window end, so that reports on some
+    days read only those; a batch of a running stream spans a day or two.
     """
-    rows = alerts.withColumn("emit_batch", F.lit(batch_id).cast("bigint"))
+    rows = alerts.drop("emit_batch")
     if files is not None:
         rows = rows.repartition(files, "zone")
+    own = [date_of().alias("date")] if by_date else []
     if fmt == "json":
         if "emit_seq" in rows.columns:
-            rows = rows.sortWithinPartitions("zone", "emit_seq")
-        rows = rows.select(alert_line().alias("value"), "emit_batch")
-    if batch_id == 0:
-        writer = rows.write.partitionBy("emit_batch").option("partitionOverwriteMode", "static")
+            rows = rows.sortWithinPartitions(*([date_of()] if by_date else []), "zone", "emit_seq")
+        rows = rows.select(alert_line().alias("value"), *own)
     else:
-        # The folder itself, so that a batch without rows empties it too.
-        path = f"{path.rstrip('/')}/emit_batch={batch_id}"
-        writer = rows.drop("emit_batch").write
-    writer.mode("overwrite").format("text" if fmt == "json" else fmt).save(path)
-
-
-def batch_writer(
-    path: str, fmt: str = "json", files: int | None = None
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function for the log at ``path``."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, fmt, files)
-
-    return write
+        rows = rows.select("*", *own)
+    write_owned(rows, path, batch_id, "text" if fmt == "json" else fmt, ("date",) if by_date else ())
 
 
 def stored_schema() -> T.StructType:

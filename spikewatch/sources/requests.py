@@ -16,7 +16,7 @@ from spikewatch.functions.jsontext import (
     to_integer,
     truthy,
 )
-from spikewatch.functions.timeline import parse_iso_millis
+from spikewatch.functions.timeline import admitted, parse_iso_millis
 
 FIELDS = (
     "ride_id string, zone_id string, timestamp string, "
@@ -29,8 +29,9 @@ COLUMNS = ["ride_id", "zone_id", "timestamp", "event_time_millis", "is_simulated
 def parse_requests(lines: DataFrame) -> DataFrame:
     """Typed columns of every line plus ``reject_reason``, null on good lines.
 
-    An explicit ``event_time_millis`` wins over the ``timestamp`` text. Other columns
-    of ``lines`` are kept.
+    An explicit ``event_time_millis`` wins over the ``timestamp`` text. Times outside the
+    years 1000 to 2999, such as placeholder dates, are rejected: one of them would move a
+    stream's watermark beyond all others. Other columns of ``lines`` are kept.
     """
     others = [c for c in lines.columns if c not in COLUMNS]
     raw = parse_once(lines, FIELDS, PARSER)
@@ -54,6 +55,7 @@ def parse_requests(lines: DataFrame) -> DataFrame:
         F.when(F.col("_corrupt").isNotNull() | ~single_object(F.col("value")), "Malformed JSON")
         .when(missing != "", F.concat(F.lit("Missing required event fields: "), missing))
         .when(F.col("event_time_millis").isNull(), "Unreadable event time")
+        .when(~admitted(F.col("event_time_millis")), "Event time outside the years 1000 to 2999")
     )
     return typed.withColumn("reject_reason", reason).drop("_corrupt")
 
@@ -90,6 +92,7 @@ def request_line(columns: tuple[str, ...] = tuple(COLUMNS)) -> Column:
 
 def late_line() -> Column:
     """Text of a late request for the side output."""
+    # Fixed wording.
     return F.format_string(
         "LATE_EVENT | zone=%s | ride_id=%s | timestamp=%s | is_simulated_late=%s",
         "zone_id",

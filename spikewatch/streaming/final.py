@@ -7,16 +7,15 @@ its key's first event time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 
 from spikewatch.config import SurgeConfig
 from spikewatch.streaming.keyed import (
-    FIRED,
-    KeyState,
     WindowProcessor,
     collapsed,
+    fired_schema,
     hold_back_ms,
     one_per_window,
 )
@@ -29,25 +28,13 @@ class FinalProcessor(WindowProcessor):
         # Where the next window starts.
         return end + self.cfg.slide_ms - self.cfg.window_ms
 
-    def _add(self, state: KeyState, rows: Iterator[Row], watermark: int | None) -> None:
-        cfg = self.cfg
-        panes = dict(zip(state.panes, state.counts))
-        pending = set(state.pending)
-        for row in rows:
-            if state.first_ms is None or row.first_ms < state.first_ms:
-                state.first_ms = row.first_ms
-            for pane, earliest, latest, n in zip(row.pane, row.next_end, row.latest_end, row.n):
-                if watermark is not None:
-                    reach = pane + cfg.window_ms
-                    if reach - reach % cfg.slide_ms <= watermark:
-                        continue
-                    still_open = watermark - watermark % cfg.slide_ms + cfg.slide_ms
-                    earliest = max(earliest, still_open)
-                panes[pane] = panes.get(pane, 0) + n
-                pending.update(range(earliest, latest + 1, cfg.slide_ms))
-        state.panes = sorted(panes)
-        state.counts = [panes[pane] for pane in state.panes]
-        state.pending = sorted(pending)
+    def _is_too_late(self, pane: int, latest: int, watermark: int) -> bool:
+        reach = pane + self.cfg.window_ms
+        return reach - reach % self.cfg.slide_ms <= watermark
+
+    def _earliest(self, earliest: int, watermark: int) -> int:
+        still_open = watermark - watermark % self.cfg.slide_ms + self.cfg.slide_ms
+        return max(earliest, still_open)
 
 
 def detect_final(
@@ -56,19 +43,20 @@ def detect_final(
     key: str = "zone_id",
     time: str = "event_time",
     wait_for_late: bool = True,
+    side: Sequence[str] | None = None,
 ) -> DataFrame:
     """One evaluation per closed window, in append mode; needs RocksDB state.
 
     By default a window closes only after the allowed lateness has passed too, so that
     late rows are in it. ``wait_for_late=False`` closes it at the watermark and gives up
-    rows that come after.
+    rows that come after. ``side`` as in the other mode.
     """
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + (cfg.lateness_ms if wait_for_late else 0) + hold_back_ms(cfg)
     rows = (
-        collapsed(requests, cfg, cfg.pane_ms, key, time)
+        collapsed(requests, cfg, cfg.pane_ms, key, time, side)
         .withWatermark("event_time", f"{delay} milliseconds")
         .groupBy("zone")
-        .transformWithState(FinalProcessor(cfg), FIRED, "Append", "EventTime")
+        .transformWithState(FinalProcessor(cfg, bool(side)), fired_schema(side), "Append", "EventTime")
     )
-    return one_per_window(rows, cfg)
+    return rows if side else one_per_window(rows, cfg)

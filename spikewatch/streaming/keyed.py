@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, fields
 from itertools import accumulate
 from typing import Any, ClassVar
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from spikewatch.config import SurgeConfig
-from spikewatch.functions.timeline import align_down, latest_end, next_end
+from spikewatch.functions.timeline import admitted, align_down, latest_end, next_end
 from spikewatch.operators.baseline import fold_counts, status_of
 
 # Spark discards rows behind its own watermark before a processor sees them, yet even the
@@ -28,11 +28,10 @@ YEAR_MS = 31_556_952_000
 HOLD_BACK_MS = 2001 * YEAR_MS
 SHIFT_MS = 4000 * YEAR_MS
 END_OF_TIME = 2**62
-# Event times admitted: the years 1000 to 2999.
-EARLIEST_MS, BEYOND_MS = -30_610_224_000_000, 32_503_680_000_000
 
 # What a processor returns for a key: arrays over the windows fired, since single rows
-# from Python cost far more than array elements do.
+# from Python cost far more than array elements do. With a side output, rows that hold
+# ``late`` events, as text, come in between.
 FIRED = T.StructType(
     [
         T.StructField("zone", T.StringType()),
@@ -43,6 +42,11 @@ FIRED = T.StructType(
         T.StructField("emit_seq", T.LongType()),
     ]
 )
+LATE = T.StructField("late", T.ArrayType(T.StringType()))
+
+
+def fired_schema(side: Sequence[str] | None) -> T.StructType:
+    return T.StructType([*FIRED.fields, LATE]) if side else FIRED
 
 
 def fired(
@@ -59,6 +63,17 @@ def fired(
     )
 
 
+def too_late(zone: str, events: list[str]) -> Row:
+    """Events that were dropped, in the place of windows."""
+    return Row(**fired(zone, [], [], [], 0, 0).asDict(), late=events)
+
+
+def late_events(tagged: DataFrame, columns: T.StructType) -> DataFrame:
+    """The events that a stream with a side output dropped, with the ``columns`` asked for."""
+    events = tagged.select(F.explode("late").alias("event"))
+    return events.select(F.from_json("event", columns).alias("event")).select("event.*")
+
+
 def one_per_window(rows: DataFrame, cfg: SurgeConfig) -> DataFrame:
     """Evaluations ``zone, window_end_ms, request_count, ema_baseline, status, emit_seq``."""
     arrays = F.arrays_zip("window_end_ms", "request_count", "ema_baseline")
@@ -81,72 +96,94 @@ def hold_back_ms(cfg: SurgeConfig) -> int:
     return HOLD_BACK_MS + cfg.window_ms + cfg.lateness_ms + 1
 
 
-def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _collapse(side: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     fate = ["zone", "pane", "next_end", "latest_end"]
-    for batch in batches:
-        alike = (
-            pa.Table.from_batches([batch])
-            .group_by(fate)
-            .aggregate([("t", "count"), ("t", "min"), ("t", "max")])
-        )
-        keys = alike.group_by("zone").aggregate(
-            [
-                ("pane", "list"),
-                ("next_end", "list"),
-                ("latest_end", "list"),
-                ("t_count", "list"),
-                ("t_min", "min"),
-                ("t_max", "max"),
-            ]
-        )
-        shifted = pc.multiply(pc.add(keys.column("t_max_max"), SHIFT_MS), 1000)
-        newest = shifted.cast(pa.timestamp("us", tz="UTC"))
-        columns = {
-            "zone": keys.column("zone"),
-            "pane": keys.column("pane_list"),
-            "next_end": keys.column("next_end_list"),
-            "latest_end": keys.column("latest_end_list"),
-            "n": keys.column("t_count_list"),
-            "first_ms": keys.column("t_min_min"),
-            "event_time": newest,
-        }
-        yield from pa.table(columns).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if side:
+                # Events in the order of their fates, so that ``n`` tells whose is whose.
+                rows = rows.sort_by([(name, "ascending") for name in fate])
+            alike = rows.group_by(fate, use_threads=False).aggregate(
+                [("t", "count"), ("t", "min"), ("t", "max")]
+            )
+            keys = alike.group_by("zone", use_threads=False).aggregate(
+                [
+                    ("pane", "list"),
+                    ("next_end", "list"),
+                    ("latest_end", "list"),
+                    ("t_count", "list"),
+                    ("t_min", "min"),
+                    ("t_max", "max"),
+                ]
+            )
+            shifted = pc.multiply(pc.add(keys.column("t_max_max"), SHIFT_MS), 1000)
+            newest = shifted.cast(pa.timestamp("us", tz="UTC"))
+            columns = {
+                "zone": keys.column("zone"),
+                "pane": keys.column("pane_list"),
+                "next_end": keys.column("next_end_list"),
+                "latest_end": keys.column("latest_end_list"),
+                "n": keys.column("t_count_list"),
+                "first_ms": keys.column("t_min_min"),
+                "event_time": newest,
+            }
+            if side:
+                # Zones come first in the order, so they are in the same order here.
+                events = rows.group_by("zone", use_threads=False).aggregate([("event", "list")])
+                columns["events"] = events.column("event_list")
+            yield from pa.table(columns).combine_chunks().to_batches()
+
+    return run
 
 
 def _checked(t: Column) -> Column:
     """The time, or an error if it is outside what can be told from Spark's watermark."""
     text = F.concat(F.lit("Event time outside the years 1000 to 2999: "), t.cast("string"))
-    return F.when((t >= EARLIEST_MS) & (t < BEYOND_MS), t).otherwise(
-        F.raise_error(text).cast("bigint")
-    )
+    return F.when(admitted(t), t).otherwise(F.raise_error(text).cast("bigint"))
 
 
 def collapsed(
-    requests: DataFrame, cfg: SurgeConfig, pane_ms: int, key: str, time: str
+    requests: DataFrame,
+    cfg: SurgeConfig,
+    pane_ms: int,
+    key: str,
+    time: str,
+    side: Sequence[str] | None = None,
 ) -> DataFrame:
     """Requests reduced inside each partition, before the shuffle by key.
 
     Events of one pane with the same first and last window share their fate, so a batch of
     events becomes one row per key with a few array elements, however hot the key.
     ``event_time`` is the newest time in a row, shifted by ``SHIFT_MS``. Rows without a key
-    or time are left out.
+    or time are left out. With ``side``, the columns of every event go along as JSON text,
+    in the order of the array elements they are counted in: only the key's task knows which
+    of them are too late.
     """
     t = F.col("t")
+    event = [F.to_json(F.struct(*side)).alias("event")] if side else []
+    kept = ["event"] if side else []
+    shape = (
+        "zone string, pane array<bigint>, next_end array<bigint>, "
+        "latest_end array<bigint>, n array<bigint>, first_ms bigint, event_time timestamp"
+    )
     return (
-        requests.select(F.col(key).cast("string").alias("zone"), F.unix_millis(time).alias("t"))
+        requests.select(
+            F.col(key).cast("string").alias("zone"), F.unix_millis(time).alias("t"), *event
+        )
         .filter("zone IS NOT NULL AND t IS NOT NULL")
-        .select("zone", _checked(t).alias("t"))
+        .select("zone", _checked(t).alias("t"), *kept)
         .select(
             "zone",
             "t",
             align_down(t, pane_ms).alias("pane"),
             next_end(t, cfg).alias("next_end"),
             latest_end(t, cfg).alias("latest_end"),
+            *kept,
         )
         .mapInArrow(
-            _collapse,
-            "zone string, pane array<bigint>, next_end array<bigint>, "
-            "latest_end array<bigint>, n array<bigint>, first_ms bigint, event_time timestamp",
+            _collapse(bool(side)), f"{shape}, events array<string>" if side else shape
         )
     )
 
@@ -180,12 +217,14 @@ class KeyState:
 class WindowProcessor(StatefulProcessor):
     """Fires window ends in order as the watermark passes them.
 
-    A mode says how rows are added (``_add``) and which panes are still needed after a window
-    has fired (``_needed_from``).
+    A mode says which events are dropped (``_is_too_late``), which window ends an event brings
+    about (``_earliest``) and which panes are still needed after a window has fired
+    (``_needed_from``). With ``side``, dropped events are returned too.
     """
 
-    def __init__(self, cfg: SurgeConfig) -> None:
+    def __init__(self, cfg: SurgeConfig, side: bool = False) -> None:
         self.cfg = cfg
+        self.side = side
         # The logical watermark is this far ahead of Spark's.
         self.ahead = hold_back_ms(cfg) - SHIFT_MS
 
@@ -196,9 +235,42 @@ class WindowProcessor(StatefulProcessor):
     def _needed_from(self, end: int) -> int:
         raise NotImplementedError
 
-    def _add(self, state: KeyState, rows: Iterator[Row], watermark: int | None) -> None:
+    def _is_too_late(self, pane: int, latest: int, watermark: int) -> bool:
         raise NotImplementedError
 
+    def _earliest(self, earliest: int, watermark: int) -> int:
+        raise NotImplementedError
+
+    def _add(
+        self, zone: str, state: KeyState, rows: Iterator[Row], watermark: int | None
+    ) -> Iterator[Row]:
+        """Count the rows in their panes; what is returned are the events dropped, if asked for."""
+        cfg = self.cfg
+        panes = dict(zip(state.panes, state.counts))
+        pending = set(state.pending)
+        for row in rows:
+            if state.first_ms is None or row.first_ms < state.first_ms:
+                state.first_ms = row.first_ms
+            late, at = [], 0
+            for pane, earliest, latest, n in zip(row.pane, row.next_end, row.latest_end, row.n):
+                at += n
+                if watermark is not None:
+                    if self._is_too_late(pane, latest, watermark):
+                        if self.side:
+                            late += row.events[at - n : at]
+                        continue
+                    earliest = self._earliest(earliest, watermark)
+                panes[pane] = panes.get(pane, 0) + n
+                pending.update(range(earliest, latest + 1, cfg.slide_ms))
+            if late:
+                yield too_late(zone, late)
+        state.panes = sorted(panes)
+        state.counts = [panes[pane] for pane in state.panes]
+        state.pending = sorted(pending)
+
+    def _fired(self, *values: Any) -> Row:
+        return Row(**fired(*values).asDict(), late=None) if self.side else fired(*values)
+
     def _load(self) -> KeyState:
         row = self.stored.get()
         if row is None:
@@ -223,7 +295,7 @@ class WindowProcessor(StatefulProcessor):
         # The first window of a key has no average to compare with.
         warm = max(bisect_right(due, warm_until), int(state.average is None))
         shown, state.average = fold_counts(counts, warm, state.average, cfg.alpha)
-        yield fired(zone, due, counts, shown, warm, state.emit_seq)
+        yield self._fired(zone, due, counts, shown, warm, state.emit_seq)
         state.emit_seq += len(due)
         # Each firing prunes; the last one of an ascending pass prunes the most.
         gone = bisect_left(state.panes, self._needed_from(due[-1]))
@@ -248,7 +320,7 @@ class WindowProcessor(StatefulProcessor):
         if watermark is not None:
             # Spark runs timers after the rows; windows already due must not see them.
             yield from self._fire(key[0], state, watermark)
-        self._add(state, rows, watermark)
+        yield from self._add(key[0], state, rows, watermark)
         if watermark is not None:
             # Late rows brought fired windows back.
             yield from self._fire(key[0], state, watermark)

@@ -8,16 +8,15 @@ towards the key's first event time.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 
 from spikewatch.config import SurgeConfig
 from spikewatch.streaming.keyed import (
-    FIRED,
-    KeyState,
     WindowProcessor,
     collapsed,
+    fired_schema,
     hold_back_ms,
     one_per_window,
 )
@@ -34,21 +33,11 @@ class RefireProcessor(WindowProcessor):
     def _needed_from(self, end: int) -> int:
         return end - self.cfg.window_ms - self.cfg.lateness_ms
 
-    def _add(self, state: KeyState, rows: Iterator[Row], watermark: int | None) -> None:
-        cfg = self.cfg
-        panes = dict(zip(state.panes, state.counts))
-        pending = set(state.pending)
-        for row in rows:
-            if state.first_ms is None or row.first_ms < state.first_ms:
-                state.first_ms = row.first_ms
-            for pane, earliest, latest, n in zip(row.pane, row.next_end, row.latest_end, row.n):
-                if watermark is not None and watermark > latest + cfg.lateness_ms:
-                    continue
-                panes[pane] = panes.get(pane, 0) + n
-                pending.update(range(earliest, latest + 1, cfg.slide_ms))
-        state.panes = sorted(panes)
-        state.counts = [panes[pane] for pane in state.panes]
-        state.pending = sorted(pending)
+    def _is_too_late(self, pane: int, latest: int, watermark: int) -> bool:
+        return watermark > latest + self.cfg.lateness_ms
+
+    def _earliest(self, earliest: int, watermark: int) -> int:
+        return earliest
 
 
 def detect_refire(
@@ -56,14 +45,19 @@ def detect_refire(
     cfg: SurgeConfig | None = None,
     key: str = "zone_id",
     time: str = "event_time",
+    side: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Evaluations in emission order per key, in update mode; needs RocksDB state."""
+    """Evaluations in emission order per key, in update mode; needs RocksDB state.
+
+    With ``side``, columns of the requests, the result is one for ``one_per_window`` and
+    ``late_events`` to take apart.
+    """
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + hold_back_ms(cfg)
     rows = (
-        collapsed(requests, cfg, state_pane_ms(cfg), key, time)
+        collapsed(requests, cfg, state_pane_ms(cfg), key, time, side)
         .withWatermark("event_time", f"{delay} milliseconds")
         .groupBy("zone")
-        .transformWithState(RefireProcessor(cfg), FIRED, "Update", "EventTime")
+        .transformWithState(RefireProcessor(cfg, bool(side)), fired_schema(side), "Update", "EventTime")
     )
-    return one_per_window(rows, cfg)
+    return rows if side else one_per_window(rows, cfg)

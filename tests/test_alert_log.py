@@ -1,4 +1,5 @@
 import json
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from spikewatch.schemas import ALERT
 from spikewatch.sources.alert_log import (
     alert_line,
+    alerts_between,
     log_lines,
     log_quality,
     log_status,
@@ -134,3 +136,21 @@ def test_rows_keep_their_order_per_zone(spark, tmp_path, files):
     for zone in "012":
         counts = [r.request_count for r in kept if r.zone == zone]
         assert counts == sorted(counts)
+
+
+def test_log_by_date(spark, tmp_path):
+    """Other days are not read, and a batch written again leaves no row twice."""
+    path = str(tmp_path / "log")
+    days = [f"2026-03-{day}T{hour}:00:05Z" for day in (22, 23, 24, 25) for hour in ("00", "12")]
+    alerts = rows_of(spark, *((t, "A", n, 1.0, "NORMAL") for n, t in enumerate(days)))
+    for number in (0, 1, 1):
+        write_batch(alerts, path, number, by_date=True)
+    assert (tmp_path / "log" / "emit_batch=1" / "date=2026-03-24").is_dir()
+    start, end = datetime(2026, 3, 23, 6, tzinfo=UTC), datetime(2026, 3, 25, tzinfo=UTC)
+    some = alerts_between(spark, path, start, end)
+    assert sorted(r.request_count for r in some.collect()) == [3, 3, 4, 4, 5, 5]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "(date" in plan
+    write_batch(alerts.limit(0), path, 1, by_date=True)
+    assert alerts_between(spark, path, start, end).count() == 3
+    assert valid_alerts(parse_alerts(log_lines(spark, path))).count() == 8

@@ -4,14 +4,17 @@ import random
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from model import START_MS, Model, batch_rows, replay
 from spikewatch.config import SurgeConfig
-from spikewatch.plans.jobs import requests_of, start_job
+from spikewatch.functions.timeline import EARLIEST_MS
+from spikewatch.plans.jobs import _batch_writer, requests_of, start_job
+from spikewatch.plans.standing import Standing
 from spikewatch.sources.alert_log import log_lines, parse_alerts, stored_schema, valid_alerts
 from spikewatch.sources.lines import stream_lines
-from spikewatch.streaming.keyed import EARLIEST_MS
+from spikewatch.streaming.keyed import fired, fired_schema, too_late
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -219,9 +222,18 @@ def test_old_times_and_rows_decades_late(spark, tmp_path, year, mode):
 
 
 def test_times_out_of_reach_are_an_error(spark, tmp_path):
-    feed(tmp_path / "in", [[("A", EARLIEST_MS - 1)]])
+    """Lines are rejected when parsed; rows from elsewhere are an error."""
+    rows = spark.createDataFrame([("A", EARLIEST_MS - 1)], "zone_id string, ms long")
+    rows.select("zone_id", F.timestamp_millis("ms").alias("event_time")).write.parquet(
+        str(tmp_path / "in")
+    )
+    stream = spark.readStream.schema("zone_id string, event_time timestamp").parquet(
+        str(tmp_path / "in")
+    )
     with pytest.raises(Exception, match="outside the years"):
-        run(spark, tmp_path, SurgeConfig(), "refire")
+        start_job(
+            stream, str(tmp_path / "log"), str(tmp_path / "cp"), until_caught_up=True
+        ).awaitTermination()
 
 
 def test_final_mode_can_give_late_rows_up(spark, tmp_path):
@@ -262,6 +274,63 @@ def test_json_log_reads_back(spark, tmp_path):
     assert kept.filter(F.col("zone") == "A").count() == 6
 
 
+def late_file(tmp_path):
+    return sorted(p.read_text() for p in (tmp_path / "late").rglob("*.txt") if p.stat().st_size)
+
+
+@pytest.mark.parametrize("mode", ["refire", "final"])
+def test_late_requests_have_an_output_of_their_own(spark, tmp_path, mode):
+    """2 and 13 come after 40, 3 after 200; the log is the same as without the side output."""
+    cfg = SurgeConfig()
+    batches = seconds([0, 1, 6], [12, 20], [40], [21, 2, 13], [60], [200], [3])
+    feed(tmp_path / "in", batches)
+    got = stored(spark, run(spark, tmp_path, cfg, mode, late_path=str(tmp_path / "late"), by_date=True))
+    lines = "".join(late_file(tmp_path)).splitlines()
+    at = [line.split("timestamp=")[1][17:19] for line in lines]
+    # In final mode too: the last window of 13 ends at 25, the watermark is at 27.
+    assert sorted(at) == ["02", "03", "13"]
+    assert all(line.startswith("LATE_EVENT | zone=A | ride_id=r") for line in lines)
+    assert all(line.endswith("is_simulated_late=false") for line in lines)
+    (tmp_path / "again").mkdir()
+    feed(tmp_path / "again" / "in", batches)
+    assert stored(spark, run(spark, tmp_path / "again", cfg, mode)) == got
+
+
+def test_outputs_of_a_replayed_batch(spark, tmp_path):
+    """A batch written again, after a failure in between, leaves every output once."""
+    cfg = SurgeConfig()
+    rows = fired("A", [START_MS + 5000], [3], [3.0], 1, 0).asDict()
+    event = '{"ride_id":"r1","zone_id":"A","timestamp":"2026-01-01T00:00:00Z","is_simulated_late":true}'
+    late = too_late("A", [event, event.replace("r1", "r2")])
+    batch = spark.createDataFrame([Row(**rows, late=None), late], fired_schema(["ride_id"]))
+    paths = [str(tmp_path / name) for name in ("log", "late", "report")]
+    write = _batch_writer(cfg, paths[0], "parquet", None, False, paths[1], paths[2])
+    for number in (0, 1, 1):
+        write(batch.limit(0) if number else batch, number)
+    write(batch, 1)
+    assert spark.read.text(paths[1]).count() == 4
+    assert [len(rows) for rows in stored_batches(spark, paths[0])] == [1, 1]
+    assert Standing(spark, paths[2], cfg).summary_metrics().first().window_snapshots == 1
+
+
+def stored_batches(spark, log):
+    rows = spark.read.schema(stored_schema()).parquet(log).collect()
+    return [[r for r in rows if r.emit_batch == n] for n in (0, 1)]
+
+
+def test_far_dates_do_not_stop_a_stream(spark, tmp_path):
+    cfg = SurgeConfig()
+    batches = seconds([0, 1], [12], [60])
+    feed(tmp_path / "in", batches)
+    with open(tmp_path / "in" / "00000.json", "a") as file:
+        file.write('{"ride_id":"x","zone_id":"A","timestamp":"9999-12-31T00:00:00Z"}\n')
+    os.utime(tmp_path / "in" / "00000.json", (1_700_000_000,) * 2)
+    model = Model(cfg)
+    for batch in batches:
+        model.batch(batch)
+    assert stored(spark, run(spark, tmp_path, cfg, "refire")) == rounded(model.out)
+
+
 def test_unknown_mode(spark, tmp_path):
     with pytest.raises(ValueError):
         start_job(spark.range(1), str(tmp_path), str(tmp_path), mode="eager")
