@@ -5,8 +5,8 @@ Parquet and read again as the next stage's ``docs``. All but the last return the
 ``documents``. A stage judges the rows its predecessor kept, and nothing else.
 
 Null texts are rejected by the quality rules. Rows with the same number and text are copies,
-of which the near-duplicate stage keeps one; rows without a number are never dropped as
-duplicates. An empty table passes through as an empty table.
+of which the near-duplicate stage keeps one; different texts with the same number are judged
+as texts of their own; rows without a number are never dropped as duplicates. An empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -44,13 +44,33 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the least number stays."""
+    """Of each class of near copies one row stays: the one with the least number, and of
+    different texts with that number the one with the least key."""
     bound_batches(spark)
     numbered = docs.filter("doc_id IS NOT NULL")
-    classes = jaccard_forest.near_copies(numbered.select("doc_id", "text"))
-    first = classes.filter("doc_id = class_id").select("doc_id")
-    stay = numbered.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    found = jaccard_forest.near_copies(numbered.select("doc_id", "text"), keys=True)
+    found = keep(found.select("doc_id", "key", "class_key"), "classes")
+    # Rows without words have no class: all numbers stay.
+    first = (
+        found.filter("key IS NOT NULL")
+        .groupBy("class_key")
+        .agg(F.min(F.struct("doc_id", "key")).alias("first"))
+        .select("first.doc_id", "first.key")
+        .union(found.filter("key IS NULL").select("doc_id", "key").distinct())
+    )
+    key = F.coalesce("key", F.lit(b""))
+    shared = found.groupBy("doc_id").agg((F.min(key) < F.max(key)).alias("several"))
+    shared = shared.filter("several").select("doc_id")
+    alone = first.join(shared, "doc_id", "left_anti").select("doc_id")
+    stay = numbered.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Where a number has several texts, the words decide which row it is.
+    texts = numbered.join(shared, "doc_id", "left_semi")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    texts = texts.select("doc_id", row, jaccard_forest.signed(F.col("text")).alias("signed"))
+    texts = texts.select("doc_id", F.coalesce("signed.key", F.lit(b"")).alias("key"), "row")
+    some = texts.join(first.select("doc_id", key.alias("key")), ["doc_id", "key"], "left_semi")
+    some = some.dropDuplicates(["doc_id", "key"]).select("row.*")
+    return stay.select(*docs.columns).union(some).union(docs.filter("doc_id IS NULL"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,22 +5,31 @@ Two texts are linked if the sets of their five-word shingles have a Jaccard simi
 once; a text of fewer than five words has one shingle, all its words.
 
 The signature of a text is one label per tree, ``DEPTH`` levels of eight bits each, every
-level from a MinHash function of its own. Sorted, the labels of a tree are a trie. Texts that
-share a prefix in any tree are candidates; starting from whole labels, prefixes are shortened
-until pairs at the threshold are met with the target probability in at least one tree. Texts
-joined by candidates are brought together once, whatever the number of trees that join them,
-and every pair among them is verified by the true intersection of shingle sets (64-bit hashes).
-
-Texts brought together are spread in blocks of bounded size, one task per pair of blocks, and
-what leaves a task is a row per text: its number of links and one link that keeps it connected.
+level from a MinHash function of its own. Sorted, the labels of a tree are a trie, and texts
+that share a prefix in any tree are candidates. Prefixes start from whole labels and are
+shortened, text by text, until whatever may be linked to the text is met with the target
+probability in at least one tree. What may be linked depends on the size of its set: a set of
+three shingles has no partner but an equal one, which shares every label; one of seven has no
+partner less similar than 6/7. Larger sets have partners closer to the threshold: at 0.8 and
+from 14 shingles on the expected recall asks for the shortest prefixes, ``prefix_depth``. A text enters a trie at every depth that a text of a linkable
+size has, so that two texts meet at the longer of their two prefixes.
+
+Texts joined by candidates are brought together once, whatever the number of trees that join
+them, and every pair among them is verified by the true intersection of shingle sets (64-bit
+hashes). Texts brought together are spread in blocks of bounded size, and every pair of blocks
+is dealt to the tasks by itself, so that a large group occupies as many tasks as it has pairs.
+What leaves a task is a row per text: its number of links and one link that keeps it connected.
 Pairs are never written out, and none is lost: the count covers all of them.
 
 Null and empty texts have no shingle: no links, and each row is its own class. Repeated rows
-count as copies. An empty table gives no rows.
+count as copies. Different texts with one number are texts of their own. Texts whose rows have
+no number at all take part like others; a class of nothing else has a null ``class_id``. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +54,9 @@ SLAB = 2048
 RARE = 24
 FACTORS = np.random.default_rng(20).integers(1, 1 << 32, (TREES * DEPTH, 2), np.uint32) | np.uint32(1)
 
-SIGNED = "key binary, labels array<long>"
+SIGNED = "key binary, labels array<long>, size int"
+# From this size on every set has partners close to the threshold.
+LARGE = 64
 VERIFIED = "key binary, links long, hub binary"
 
 
@@ -57,6 +68,31 @@ def prefix_depth(threshold: float, target: float, trees: int = TREES) -> int:
     return depth
 
 
+def least_similar(size: int, threshold: float) -> float:
+    """The smallest similarity, from the threshold on, of a set of ``size`` and any other set."""
+    pairs = (
+        (both, size + other - both)
+        for other in range(1, int(size / threshold) + 2)
+        for both in range(1, min(size, other) + 1)
+    )
+    return min((a / b for a, b in pairs if a / b >= threshold), default=1.0)
+
+
+def depths_by_size(threshold: float, target: float) -> list[list[int]]:
+    """For sets of 0, 1, ... up to ``LARGE`` shingles the depths at which they enter the tries.
+
+    The last entry stands for all larger sets.
+    """
+    own = [prefix_depth(least_similar(n, threshold), target) for n in range(1, int(LARGE / threshold) + 2)]
+    floor = prefix_depth(threshold, target)
+    out = [[]]
+    for size in range(1, LARGE):
+        # Prefixes of linkable sizes; two texts meet at the longer of their prefixes.
+        near = range(math.ceil(size * threshold), int(size / threshold) + 1)
+        out.append(sorted({max(own[size - 1], own[n - 1]) for n in near if n >= 1}, reverse=True))
+    return [*out, [floor]]
+
+
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """The set of shingle hashes, rising."""
     if not len(words):
@@ -85,20 +121,26 @@ def key_of(words: np.ndarray) -> bytes:
 
 
 def signed(text: Column) -> Column:
-    """``key`` and ``labels`` of a text column; null without words."""
+    """``key``, ``labels`` and number of shingles of a text column; null without words."""
 
     @F.arrow_udf(SIGNED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = word_hashes()
         for texts in batches:
-            keys, rows = [], []
+            keys, rows, sizes = [], [], []
             for t in texts.cast(pa.binary()).to_pylist():
                 words = hashes.of((t or b"").split())
                 keys.append(key_of(words) if len(words) else None)
-                rows.append(labels(shingles(words)) if len(words) else None)
+                own = shingles(words)
+                rows.append(labels(own) if len(words) else None)
+                sizes.append(len(own))
             yield pa.StructArray.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))],
-                names=["key", "labels"],
+                [
+                    pa.array(keys, pa.binary()),
+                    pa.array(rows, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int32()),
+                ],
+                names=["key", "labels", "size"],
             )
 
     return run(text)
@@ -163,13 +205,15 @@ def hubs(links: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> np.n
         root = new
 
 
-def _candidates(texts: DataFrame, depth: int) -> DataFrame:
+def _candidates(texts: DataFrame, depths: list[list[int]]) -> DataFrame:
     """Links ``a, b`` that join all texts with a common prefix in some tree."""
-    shift = LEVEL_BITS * (DEPTH - depth)
-    rows = texts.select("key", F.posexplode("labels").alias("tree", "label")).withColumn(
-        "label", F.shiftrightunsigned("label", shift)
-    )
-    rows = rows.select("tree", "label", "key")
+    by_size = F.array(*(F.array(*map(F.lit, own)).cast("array<int>") for own in depths))
+    own = F.element_at(by_size, F.least("size", F.lit(len(depths) - 1)) + 1)
+    rows = texts.select("key", own.alias("depths"), F.posexplode("labels").alias("tree", "label"))
+    rows = rows.select("key", "tree", "label", F.explode("depths").alias("depth"))
+    # A tree's prefixes of one length are a tree of their own.
+    prefix = F.expr(f"shiftrightunsigned(label, {LEVEL_BITS} * ({DEPTH} - depth))")
+    rows = rows.select((F.col("tree") * (DEPTH + 1) + F.col("depth")).alias("tree"), prefix.alias("label"), "key")
     groups = (
         rows.groupBy("tree", "label")
         .agg(F.count("*").alias("n"), F.min("key").alias("b"))
@@ -207,7 +251,9 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
         )
         return out[out["links"] > 0]
 
-    return pairs.groupBy("group", "low", "high").applyInPandas(run, VERIFIED)
+    # The join before leaves a group in one partition, and that would satisfy the grouping.
+    dealt = pairs.repartition("group", "low", "high")
+    return dealt.groupBy("group", "low", "high").applyInPandas(run, VERIFIED)
 
 
 def near_copies(
@@ -216,14 +262,21 @@ def near_copies(
     target: float = 0.9995,
     doc_id: str = "doc_id",
     text: str = "text",
+    keys: bool = False,
 ) -> DataFrame:
     """``doc_id, class_id, n_links`` of every row: the least number of its class, and how many
     other rows it is linked to, copies included.
+
+    With ``keys`` also ``key``, which stands for the row's words, and ``class_key``, for its
+    class; both null without words. Numbers alone do not tell rows or classes apart where
+    different texts bear one number.
     """
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    # A text that no number leads back to is kept with its signature.
+    lost = F.when(F.col("doc_id").isNull(), F.col("text")).alias("lost")
     rows = keep(
-        given.select("doc_id", signed(F.col("text")).alias("signed")).select(
-            "doc_id", "signed.key", "signed.labels"
+        given.select("doc_id", lost, signed(F.col("text")).alias("signed")).select(
+            "doc_id", "lost", "signed.key", "signed.labels", "signed.size"
         ),
         "signatures",
     )
@@ -234,18 +287,21 @@ def near_copies(
             F.count("*").alias("copies"),
             F.min("doc_id").alias("first"),
             F.min("labels").alias("labels"),
+            F.min("size").alias("size"),
+            F.min("lost").alias("lost"),
         ),
         "texts",
     )
-    depth = prefix_depth(threshold, target)
-    groups = components(_candidates(texts, depth))
+    groups = components(_candidates(texts, depths_by_size(threshold, target)))
     chosen = groups.select(F.col("node").alias("key"), F.col("component").alias("group")).join(
-        texts.drop("labels"), "key"
+        texts.drop("labels", "size"), "key"
     )
+    numbered = given.join(chosen.drop("lost"), F.col("doc_id") == F.col("first"))
+    unnumbered = chosen.filter("first IS NULL").withColumn("text", F.col("lost"))
     brought = keep(
-        given.join(chosen, F.col("doc_id") == F.col("first")).select(
-            "group", "key", "copies", "text", F.octet_length("text").alias("size")
-        ),
+        numbered.select("group", "key", "copies", "text")
+        .union(unnumbered.select("group", "key", "copies", "text"))
+        .withColumn("size", F.octet_length("text")),
         "brought",
     )
     blocks = brought.groupBy("group").agg(
@@ -279,10 +335,16 @@ def near_copies(
     known = keep(known, "known")
     classes = known.groupBy("component").agg(F.min("first").alias("class_id"))
     known = known.join(classes, "component").select(
-        "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "key", "class_id", F.col("component").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     worded = rows.filter("key IS NOT NULL").select("doc_id", "key").join(known, "key")
+    none = F.lit(None).cast("binary")
     wordless = rows.filter("key IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+        "doc_id",
+        F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"),
+        none.alias("key"),
+        none.alias("class_key"),
     )
-    return worded.select("doc_id", "class_id", "n_links").unionByName(wordless)
+    shown = ["doc_id", "class_id", "n_links", *(["key", "class_key"] if keys else [])]
+    return worded.select(*shown).unionByName(wordless.select(*shown))

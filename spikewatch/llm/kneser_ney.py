@@ -15,13 +15,14 @@ language's median as by ``PRIOR`` more characters, so that short texts are judge
 caution. The threshold of a language is the quantile ``QUANTILE`` of its held-out trusted
 texts' scores, so that the share of clean texts lost is what lies above it. Texts too few to
 have one above the quantile (under 100 at 0.99) widen it by its distance from their median
-times the missing share, at 50 by half. Languages with fewer than ``FEWEST`` held-out texts,
-and unknown ones, have the threshold of all. ``perplexity`` is e to the score.
+times the missing share, at 50 by half. A language's values are drawn to those of all held-out
+texts, as if ``FEW`` texts more had those: by half at ``FEW`` texts, hardly at thousands. Unknown
+languages have the values of all. ``perplexity`` is e to the score.
 
 As a mean hides a few foreign words in a long text, a text's worst stretch is judged too: the
 highest sum over ``STRETCH`` characters in a row, by its own threshold, found alike. A text
-is accepted if neither is above its threshold; the results show the first. With fewer than
-``FEWEST`` held-out texts in all, the worst stretch is not judged.
+is accepted if neither is above its threshold; the results show the first. A few texts widen
+the worst stretch's threshold further, by ``FEW`` times one text's share.
 
 Texts that are null or white space have no perplexity and are not kept. Without any trusted
 held-out text there is no threshold, and all others are kept. Several labels of a document
@@ -46,7 +47,8 @@ BITS = 12
 OWN_CLASS = 3072
 CHUNK_BYTES = 2 << 20
 QUANTILE = 0.99
-FEWEST = 20
+# Held-out texts that a language's own values count for half at.
+FEW = 20
 PRIOR = 40
 HELD_OUT = 5
 # Characters of a stretch judged by itself.
@@ -261,15 +263,14 @@ def _scores(table: DataFrame, trusted: DataFrame, shards: int) -> DataFrame:
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(score, SCORED)
 
 
-def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float, float]]:
-    """Median, threshold and the worst stretch's threshold of each language with enough held-out texts."""
+def _limits(tested: DataFrame) -> dict[str, tuple[int, float, float, float]]:
+    """Held-out texts of each language, their median, threshold and worst stretch's threshold."""
     middles = (
         tested.groupBy("lang")
         .agg(
             F.count("*").alias("texts"),
             F.percentile_approx(F.col("nats") / F.col("n"), 0.5, 10_000).alias("middle"),
         )
-        .filter(F.col("texts") >= fewest)
         .orderBy(F.desc("texts"), "lang")
         .limit(MOST_LANGUAGES)
     )
@@ -285,17 +286,31 @@ def _limits(tested: DataFrame, fewest: int) -> dict[str, tuple[float, float, flo
     )
     return {
         r["lang"]: (
+            r["texts"],
             r["middle"],
             widened(r["texts"], r["middle"], r["high"]),
-            widened(r["texts"], *r["worst"]) if r["texts"] >= FEWEST else float("inf"),
+            widened(r["texts"], *r["worst"], slack=FEW),
         )
         for r in rows
     }
 
 
-def widened(texts: int, middle: float, high: float) -> float:
-    """The quantile, moved out by what share of one text lies above it."""
-    return high + max(0.0, 1 - texts * (1 - QUANTILE)) * (high - middle)
+def widened(texts: int, middle: float, high: float, slack: int = 0) -> float:
+    """The quantile, moved out by what share of one text lies above it, and by ``slack`` times
+    one text's share more: the highest of a few texts says little. From 100 texts on it is the
+    quantile itself."""
+    missing = max(0.0, 1 - texts * (1 - QUANTILE))
+    return high + missing * (1 + slack / texts) * (high - middle)
+
+
+def shrunk(
+    own: tuple[int, float, float, float] | None, every: tuple[int, float, float, float]
+) -> tuple[float, float, float]:
+    """A language's values, drawn to those of all languages by the weight of ``FEW`` texts."""
+    texts = own[0] if own else 0
+    share = texts / (texts + FEW)
+    values = own[1:] if own else every[1:]
+    return tuple(share * a + (1 - share) * b for a, b in zip(values, every[1:], strict=True))
 
 
 def judge_documents(
@@ -334,8 +349,10 @@ def judge_documents(
     # Thresholds, from held-out trusted texts.
     tested = trusted.filter("held").join(scores.filter("n > 0"), ["chunk", "place"])
     tested = keep(tested.drop("chunk", "place", "held"), "held-out")
-    limits = _limits(tested.filter("lang IS NOT NULL"), FEWEST)
-    rest = _limits(tested.withColumn("lang", F.lit("")), 1).get("")
+    every = _limits(tested.withColumn("lang", F.lit(""))).get("")
+    limits = _limits(tested.filter("lang IS NOT NULL")) if every else {}
+    limits = {name: shrunk(own, every) for name, own in limits.items()}
+    rest = every[1:] if every else None
 
     def attach(key: tuple, rows: pa.Table, scored: pa.Table) -> pa.Table:
         found = dict(

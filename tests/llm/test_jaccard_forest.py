@@ -4,9 +4,22 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spikewatch.llm import jaccard_forest
-from spikewatch.llm.jaccard_forest import common, hubs, labels, near_copies, prefix_depth, shingles
+from spikewatch.llm.jaccard_forest import (
+    DEPTH,
+    LARGE,
+    TREES,
+    common,
+    depths_by_size,
+    hubs,
+    labels,
+    least_similar,
+    near_copies,
+    prefix_depth,
+    shingles,
+)
 from spikewatch.llm.words import WordHashes
 
 
@@ -120,3 +133,70 @@ def test_labels_meet_as_often_as_expected(prose):
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     same = labels(a).view(np.uint8) == labels(b).view(np.uint8)
     assert abs(same.mean() - true) < 0.12
+
+
+def test_pairs_of_blocks_are_dealt_to_all_tasks(spark, monkeypatch, prose, make_docs):
+    """One large group, joins that shuffle, and 36 pairs of blocks in many partitions."""
+    monkeypatch.setattr(jaccard_forest, "BLOCK_TEXTS", 6)
+    real, parts = jaccard_forest._verified, []
+
+    def verified(pairs, threshold):
+        links = real(pairs, threshold)
+        blocks = pairs.select("group", "low", "high").distinct().count()
+        parts.append((blocks, links.select(F.spark_partition_id()).distinct().count()))
+        return links
+
+    monkeypatch.setattr(jaccard_forest, "_verified", verified)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    rng, base = random.Random(3), prose(5, 150)
+    rows = [(n, edited(base, rng, 1)) for n in range(48)]
+    try:
+        found = near_copies(make_docs(rows)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len({r.class_id for r in found}) == 1
+    blocks, used = parts[0]
+    assert blocks >= 30 and used >= 10
+
+
+def test_texts_without_a_number_keep_their_links(make_docs, prose):
+    rng = random.Random(4)
+    a, b = prose(1, 100), prose(2, 100)
+    rows = [(None, a), (None, a), (5, edited(a, rng, 1)), (6, edited(a, rng, 1)), (None, b)]
+    found = sorted(near_copies(make_docs(rows)).collect(), key=lambda r: (r.doc_id or 0, r.n_links))
+    assert [tuple(r) for r in found] == [(None, None, 0), (None, 5, 3), (None, 5, 3), (5, 5, 3), (6, 5, 3)]
+
+
+def test_keys_tell_classes_apart(make_docs, prose):
+    rng = random.Random(2)
+    a, b = prose(1, 100), prose(2, 100)
+    rows = [(1, a), (1, b), (2, edited(a, rng, 1)), (3, edited(b, rng, 1)), (4, None)]
+    found = near_copies(make_docs(rows), keys=True).collect()
+    assert len({r.class_key for r in found if r.class_key}) == 2 and len({r.key for r in found}) == 5
+    assert all(r.class_id == 1 for r in found if r.doc_id in (1, 2, 3))
+
+
+def test_prefixes_depend_on_the_size_of_the_set():
+    assert least_similar(3, 0.8) == 1.0 and least_similar(7, 0.8) == 6 / 7 and least_similar(10, 0.8) == 0.8
+    depths = depths_by_size(0.8, 0.9995)
+    assert depths[0] == [] and depths[1] == [8] and depths[-1] == [6] and len(depths) == LARGE + 1
+    assert depths[7] == [8] and depths[11] == [7] and all(own == [6] for own in depths[14:])
+    for threshold, target in ((0.8, 0.9995), (0.5, 0.99), (0.9, 0.999)):
+        depths = depths_by_size(threshold, target)
+        for one in range(1, LARGE):
+            for two in range(one, LARGE):
+                # Whatever pair of such sizes may be linked meets in time.
+                shared = [s for s in range(1, one + 1) if s / (one + two - s) >= threshold]
+                if shared:
+                    alike = shared[0] / (one + two - shared[0])
+                    depth = min(set(depths[one]) & set(depths[two]))
+                    least = 1 - (1 - alike**depth) ** TREES
+                    assert depth <= DEPTH and (least >= target or depth == 1)

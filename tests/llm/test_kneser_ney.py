@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from spikewatch.llm import kneser_ney
-from spikewatch.llm.kneser_ney import BITS, ORDER, classes, judge_documents
+from spikewatch.llm.kneser_ney import shrunk, widened, BITS, ORDER, classes, judge_documents
 
 
 def grams(text):
@@ -127,3 +127,18 @@ def test_foreign_words_are_not_averaged_away(spark, make_docs, prose):
     rows = rows.orderBy("doc_id").collect()
     assert all(r.perplexity <= r.threshold and not r.accepted for r in rows[241:])
     assert sum(r.accepted for r in rows[:241]) >= 235
+
+
+def test_thresholds_move_smoothly_with_the_number_of_texts():
+    """No number of held-out texts at which a rule sets in."""
+    every = (1000, 2.0, 3.0, 30.0)
+    sizes = [1, 2, 5, 18, 19, 20, 21, 22, 99, 100, 101, 200, 5000]
+    wide = {n: widened(n, 2.0, 3.0, 20) for n in sizes}
+    assert wide[100] == wide[5000] == 3.0 and list(wide.values()) == sorted(wide.values(), reverse=True)
+    drawn = {n: shrunk((n, 1.0, 1.5, 10.0), every) for n in sizes}
+    for values in zip(*drawn.values()):
+        assert list(values) == sorted(values, reverse=True)
+    for a, b in ((19, 20), (20, 21), (99, 100), (100, 101)):
+        assert wide[a] - wide[b] < 0.1 and drawn[a][1] - drawn[b][1] < 0.04
+    assert shrunk(None, every) == every[1:]
+    assert drawn[5000][0] == pytest.approx(1.0, abs=0.01)

@@ -83,3 +83,15 @@ def test_rows_without_a_number_stay(run, prose):
     text = "\n".join(prose(n, 40) + "." for n in range(2))
     _, out = run([(None, text), (None, text), (1, text)], [])
     assert out[2].count() == 3
+
+
+def test_no_class_is_lost_where_texts_share_a_number(spark, prose):
+    rng = random.Random(6)
+    a, b, c = prose(1, 100), prose(2, 100), prose(3, 100)
+    rows = [(1, a), (1, b), (1, b), (2, edited(a, rng, 1)), (3, edited(b, rng, 1)), (4, c), (4, c), (None, a)]
+    data = [(i, t, "en", "s", len(t), n, "x", "y") for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(data, SCHEMA + ", key long, row string, signed string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = sorted((r.doc_id or 0, r.text) for r in left.collect())
+    assert kept == sorted([(1, a), (1, b), (4, c), (0, a)])
