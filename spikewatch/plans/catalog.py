@@ -17,10 +17,10 @@ from spikewatch.functions.timeline import iso_utc, latest_end, millis_of, next_e
 from spikewatch.operators import report
 from spikewatch.operators.history import detect_long
 from spikewatch.operators.lateness import audit_arrivals, late_lines, lateness_summary
-from spikewatch.operators.schedule import annotate_schedule
+from spikewatch.operators.schedule import annotate_schedule, annotate_versions
 from spikewatch.operators.windows import window_counts, window_counts_builtin
 from spikewatch.plans.detect import as_alerts, detect
-from spikewatch.plans.jobs import requests_of, start_job
+from spikewatch.plans.jobs import from_history, requests_of, start_job
 from spikewatch.plans.standing import Standing
 from spikewatch.session import configure, shared_dir
 from spikewatch.sources.alert_log import (
@@ -439,10 +439,10 @@ def late_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_lines(audit_arrivals(arrivals(spark, sf_dir), LATE))
 
 
-def busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A daily schedule taken from the events: hours above the type's mean last two hours."""
+def busy_hours(source: DataFrame) -> DataFrame:
+    """A daily schedule taken from events: hours above the type's mean last two hours."""
     hour = F.floor(F.pmod(F.col("event_time_millis"), F.lit(DAY * 1000)) / (HOUR * 1000))
-    hourly = events(spark, sf_dir).groupBy("zone_id", hour.alias("hour")).agg(
+    hourly = source.groupBy("zone_id", hour.alias("hour")).agg(
         F.count(F.lit(1)).alias("n")
     )
     mean = F.floor(F.sum("n").over(Window.partitionBy("zone_id")) / 24)
@@ -459,7 +459,27 @@ def busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = annotate_schedule(events(spark, sf_dir), busy_hours(spark, sf_dir), DAY)
+    placed = annotate_schedule(events(spark, sf_dir), busy_hours(events(spark, sf_dir)), DAY)
+    return placed.select("event_id", "zone_id", "cycle_ms", "extra", "expected_load")
+
+
+# Starts of the versions of a schedule; before the first there is none.
+VERSIONS = (
+    datetime(2024, 1, 3, tzinfo=UTC),
+    datetime(2024, 1, 12, 6, 30, tzinfo=UTC),
+    datetime(2024, 1, 12, 17, tzinfo=UTC),
+)
+
+
+def schedule_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of a schedule, each taken from the events up to the next."""
+    source, parts = events(spark, sf_dir), []
+    starts = [int(t.timestamp() * 1000) for t in VERSIONS]
+    for start, end in zip(starts, [*starts[1:], 2**62]):
+        own = source.filter(F.col("event_time_millis").between(start, end - 1))
+        parts.append(busy_hours(own).withColumn("valid_from_ms", F.lit(start)))
+    versions = parts[0].union(parts[1]).union(parts[2])
+    placed = annotate_versions(source, versions, DAY)
     return placed.select("event_id", "zone_id", "cycle_ms", "extra", "expected_load")
 
 
@@ -567,6 +587,35 @@ def stream_final_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, _replayed(spark, sf_dir, "final"))
 
 
+# Where a stream takes over from stored history.
+TAKE_OVER = "2024-01-14T05:00:00Z"
+
+
+def stream_after_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch over the first part and a stream over the rest: as if it had been one stream."""
+    configure(spark)
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    timed = table.select(
+        F.col("event_type").alias("zone_id"),
+        F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("event_time"),
+    )
+    is_past = F.col("event_time") < F.lit(TAKE_OVER).cast("timestamp")
+    past, states = from_history(timed.filter(is_past), LATE, "refire")
+    path, checkpoint = shared_dir(spark, "later-log"), shared_dir(spark, "later-checkpoint")
+    later = _stream(spark, sf_dir).filter(~is_past)
+    options = {"until_caught_up": True, "flush": True, "states": states}
+    start_job(later, path, checkpoint, LATE, "refire", "parquet", **options).awaitTermination()
+    first = as_alerts(past).select(
+        "zone",
+        iso_utc(F.unix_millis("timestamp")).alias("window_end"),
+        "request_count",
+        "ema_baseline",
+        "status",
+        "emit_seq",
+    )
+    return first.unionByName(_stored(spark, path))
+
+
 def _late_lines(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     late = shared_dir(spark, "late-requests")
     _replayed(spark, sf_dir, mode, part_s=SHORT_PART_S, late_path=late)
@@ -687,12 +736,14 @@ QUERIES: dict[str, Query] = {
         arrival_summary,
         late_event_lines,
         schedule_annotation,
+        schedule_versions,
         stream_final,
         stream_refire,
         stream_refire_late,
         stream_final_late,
         stream_final_flush,
         stream_refire_flush,
+        stream_after_history,
         stream_refire_dropped,
         stream_final_dropped,
         stream_log_order,

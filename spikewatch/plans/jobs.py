@@ -12,14 +12,16 @@ from spikewatch.config import SurgeConfig
 from spikewatch.plans import standing
 from spikewatch.plans.detect import as_alerts
 from spikewatch.schemas import LATE_REQUEST
-from spikewatch.session import configure
+from spikewatch.session import configure, shared_dir
 from spikewatch.sources.alert_log import write_batch, write_owned
 from spikewatch.sources.requests import accepted, late_line, parse_requests, with_event_time
+from spikewatch.streaming import final, refire
 from spikewatch.streaming.final import FinalProcessor, detect_final
-from spikewatch.streaming.keyed import late_events, one_per_window, pending_rows
+from spikewatch.streaming.keyed import late_events, one_per_window, pending_rows, states_of
 from spikewatch.streaming.refire import RefireProcessor, detect_refire
 
 MODES = {"final": detect_final, "refire": detect_refire}
+HISTORIES = {"final": final.history, "refire": refire.history}
 PROCESSORS = {"final": FinalProcessor, "refire": RefireProcessor}
 
 
@@ -73,6 +75,7 @@ def start_job(
     by_date: bool = False,
     late_path: str | None = None,
     report_path: str | None = None,
+    states: DataFrame | None = None,
     **options: str | bool,
 ) -> StreamingQuery:
     """Start detection over a stream with an ``event_time`` column.
@@ -86,7 +89,8 @@ def start_job(
 
     Requests too late to count are written as lines to ``late_path``. They need the columns
     of a request, which then travel to the task of their key with the counts. ``report_path``
-    keeps the tables of ``standing`` up to date.
+    keeps the tables of ``standing`` up to date. A new job starts from ``states`` that
+    ``from_history`` made, and otherwise cold.
     """
     cfg = cfg or SurgeConfig()
     if mode not in MODES:
@@ -100,7 +104,7 @@ def start_job(
     if side is not None and key != "zone_id":
         # The line names the key that the request was counted under.
         requests = requests.withColumn("zone_id", F.col(key).cast("string"))
-    evaluations = MODES[mode](requests, cfg, side=side, **options)
+    evaluations = MODES[mode](requests, cfg, side=side, states=states, **options)
     write = _batch_writer(cfg, path, fmt, files, by_date, late_path, report_path)
     writer = (
         evaluations.writeStream.outputMode("append" if mode == "final" else "update")
@@ -116,6 +120,20 @@ def start_job(
     return query
 
 
+def from_history(
+    requests: DataFrame, cfg: SurgeConfig | None = None, mode: str = "final", **options: str | bool
+) -> tuple[DataFrame, DataFrame]:
+    """Evaluations over a bounded history, with ``emit_seq``, and the states that a job over
+    what comes after it starts from. Options are those of the mode."""
+    cfg = cfg or SurgeConfig()
+    after = HISTORIES[mode](requests, cfg, **options)
+    # Read twice; written to the shared folder once.
+    path = shared_dir(requests.sparkSession, "history")
+    after.write.parquet(path)
+    after = requests.sparkSession.read.schema(after.schema).parquet(path)
+    return one_per_window(after, cfg), states_of(after)
+
+
 def flush_pending(
     spark: SparkSession,
     path: str,

@@ -19,6 +19,7 @@ from spikewatch.plans.catalog import (
     SOME_DAYS,
     TUMBLING,
     UNEVEN,
+    VERSIONS,
     WEEKLY,
 )
 
@@ -505,6 +506,24 @@ SELECT 'LATE_EVENT | zone=' || zone || ' | ride_id=' || event_id || ' | timestam
   || ' | is_simulated_late=' || flag AS value FROM audited WHERE class = 'dropped'""",
     "schedule_annotation": f"""WITH {SCHEDULE}
 SELECT event_id, zone AS zone_id, cycle_ms, extra, 1 + extra AS expected_load FROM loads""",
+    "schedule_versions": f"""WITH timed AS (
+  SELECT event_id, event_type AS zone, {MS} AS e, {MS} % {DAY * 1000} AS cycle_ms FROM events),
+versions AS (
+  SELECT v, lead(v) OVER (ORDER BY v) AS until
+  FROM unnest([{', '.join(str(int(t.timestamp() * 1000)) for t in VERSIONS)}]) AS x(v)),
+dated AS (SELECT t.*, v FROM timed t LEFT JOIN versions ON e >= v AND (until IS NULL OR e < until)),
+hourly AS (
+  SELECT zone, v, cycle_ms // {HOUR * 1000} AS h, count(*) AS n FROM dated WHERE v IS NOT NULL
+  GROUP BY ALL),
+mean AS (SELECT zone, v, CAST(floor(sum(n) / 24) AS BIGINT) AS m FROM hourly GROUP BY zone, v),
+entries AS (
+  SELECT h.zone, h.v, h * {HOUR * 1000} AS a, least(h + 2, 24) * {HOUR * 1000} AS b, n - m AS extra
+  FROM hourly h JOIN mean USING (zone, v) WHERE n > m)
+SELECT event_id, d.zone AS zone_id, cycle_ms, CAST(coalesce(sum(x.extra), 0) AS BIGINT) AS extra,
+  CAST(1 + coalesce(sum(x.extra), 0) AS BIGINT) AS expected_load
+FROM dated d LEFT JOIN entries x ON x.zone = d.zone AND x.v = d.v AND cycle_ms >= a AND cycle_ms < b
+GROUP BY ALL""",
+    "stream_after_history": closed(-(10**15)),
     "stream_final": closed(LATE.watermark_ms + LATE.lateness_ms),
     "stream_refire": closed(LATE.watermark_ms),
     "stream_final_flush": closed(-(10**15)),

@@ -18,6 +18,7 @@ from spikewatch.streaming.keyed import (
     fired_schema,
     hold_back_ms,
     one_per_window,
+    state_after,
 )
 
 
@@ -44,12 +45,14 @@ def detect_final(
     time: str = "event_time",
     wait_for_late: bool = True,
     side: Sequence[str] | None = None,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """One evaluation per closed window, in append mode; needs RocksDB state.
 
     By default a window closes only after the allowed lateness has passed too, so that
     late rows are in it. ``wait_for_late=False`` closes it at the watermark and gives up
-    rows that come after. ``side`` as in the other mode.
+    rows that come after. ``side`` and ``states`` as in
+    the other mode.
     """
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + (cfg.lateness_ms if wait_for_late else 0) + hold_back_ms(cfg)
@@ -57,6 +60,26 @@ def detect_final(
         collapsed(requests, cfg, cfg.pane_ms, key, time, side)
         .withWatermark("event_time", f"{delay} milliseconds")
         .groupBy("zone")
-        .transformWithState(FinalProcessor(cfg, bool(side)), fired_schema(side), "Append", "EventTime")
+        .transformWithState(
+            FinalProcessor(cfg, bool(side)),
+            fired_schema(side),
+            "Append",
+            "EventTime",
+            None if states is None else states.groupBy("zone"),
+        )
     )
     return rows if side else one_per_window(rows, cfg)
+
+
+def history(
+    requests: DataFrame,
+    cfg: SurgeConfig | None = None,
+    key: str = "zone_id",
+    time: str = "event_time",
+    wait_for_late: bool = True,
+) -> DataFrame:
+    """What ``detect_final`` would have emitted and kept after a bounded history; see
+    ``state_after``."""
+    cfg = cfg or SurgeConfig()
+    delay = cfg.watermark_ms + (cfg.lateness_ms if wait_for_late else 0)
+    return state_after(requests, FinalProcessor(cfg), cfg.pane_ms, delay, key, time)

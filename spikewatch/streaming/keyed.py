@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, fields
 from itertools import accumulate
 from typing import Any, ClassVar
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
@@ -336,6 +337,13 @@ class WindowProcessor(StatefulProcessor):
         yield from self._fire(key[0], state, watermark)
         self._save(state)
 
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        """Go on from a state of ``state_after``."""
+        values = [initialState[f.name] for f in fields(KeyState)]
+        state = KeyState(*(list(v) if isinstance(v, (list, tuple)) else v for v in values))
+        state.timer = None
+        self._save(state)
+
     def close(self) -> None:
         pass
 
@@ -368,3 +376,53 @@ def pending_rows(state: DataFrame, processor: WindowProcessor) -> DataFrame:
 
     rows = state.select("zone", *names).mapInArrow(run, FIRED)
     return one_per_window(rows, processor.cfg)
+
+
+def state_after(
+    requests: DataFrame,
+    processor: WindowProcessor,
+    pane_ms: int,
+    delay_ms: int,
+    key: str = "zone_id",
+    time: str = "event_time",
+) -> DataFrame:
+    """What a stream would have emitted and kept after a bounded history, one row per key.
+
+    The columns are those of ``one_per_window`` and of ``KeyState``. All of the history counts as
+    one micro-batch, after which windows up to ``delay_ms`` behind its newest event fire; events
+    older than that are in time. Events are reduced to panes before the shuffle and merged to
+    one row per pane after it; a key's panes then pass through one task, as in batch detection.
+    """
+    cfg = processor.cfg
+    rows = collapsed(requests, cfg, pane_ms, key, time)
+    newest = rows.agg(F.max(F.unix_millis("event_time")).alias("newest")).first()["newest"]
+    watermark = None if newest is None else newest - SHIFT_MS - delay_ms
+    each = F.inline(F.arrays_zip("pane", "next_end", "latest_end", "n"))
+    panes = (
+        rows.select("zone", "first_ms", each)
+        .groupBy("zone", "pane", "next_end", "latest_end")
+        .agg(F.sum("n").alias("n"), F.min("first_ms").alias("first_ms"))
+    )
+    names = [f.name for f in fields(KeyState)]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        zone, state = group["zone"].iloc[0], KeyState()
+        once = Row(
+            first_ms=int(group["first_ms"].min()),
+            **{name: group[name].tolist() for name in ("pane", "next_end", "latest_end", "n")},
+        )
+        list(processor._add(zone, state, iter([once]), None))
+        out = list(processor._fire(zone, state, watermark)) or [fired(zone, [], [], [], 0, 0)]
+        kept = dict(zip(names, state.row(), strict=True)) | {"next_seq": state.emit_seq}
+        del kept["emit_seq"]
+        return pd.DataFrame([out[0].asDict() | kept])
+
+    kept = KeyState.SCHEMA.replace("emit_seq", "next_seq")
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FIRED.fields)
+    return panes.groupBy("zone").applyInPandas(run, f"{shape}, {kept}")
+
+
+def states_of(after: DataFrame) -> DataFrame:
+    """The states of ``state_after``, for a stream to start from."""
+    names = [f.name for f in fields(KeyState)]
+    return after.select("zone", *(n if n != "emit_seq" else F.col("next_seq").alias(n) for n in names))

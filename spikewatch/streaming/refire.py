@@ -19,6 +19,7 @@ from spikewatch.streaming.keyed import (
     fired_schema,
     hold_back_ms,
     one_per_window,
+    state_after,
 )
 
 
@@ -46,11 +47,13 @@ def detect_refire(
     key: str = "zone_id",
     time: str = "event_time",
     side: Sequence[str] | None = None,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """Evaluations in emission order per key, in update mode; needs RocksDB state.
 
     With ``side``, columns of the requests, the result is one for ``one_per_window`` and
-    ``late_events`` to take apart.
+    ``late_events`` to take apart. ``states`` are those that a new stream starts from, see
+    ``history``.
     """
     cfg = cfg or SurgeConfig()
     delay = cfg.watermark_ms + hold_back_ms(cfg)
@@ -58,6 +61,24 @@ def detect_refire(
         collapsed(requests, cfg, state_pane_ms(cfg), key, time, side)
         .withWatermark("event_time", f"{delay} milliseconds")
         .groupBy("zone")
-        .transformWithState(RefireProcessor(cfg, bool(side)), fired_schema(side), "Update", "EventTime")
+        .transformWithState(
+            RefireProcessor(cfg, bool(side)),
+            fired_schema(side),
+            "Update",
+            "EventTime",
+            None if states is None else states.groupBy("zone"),
+        )
     )
     return rows if side else one_per_window(rows, cfg)
+
+
+def history(
+    requests: DataFrame,
+    cfg: SurgeConfig | None = None,
+    key: str = "zone_id",
+    time: str = "event_time",
+) -> DataFrame:
+    """What ``detect_refire`` would have emitted and kept after a bounded history; see
+    ``state_after``."""
+    cfg = cfg or SurgeConfig()
+    return state_after(requests, RefireProcessor(cfg), state_pane_ms(cfg), cfg.watermark_ms, key, time)

@@ -7,7 +7,12 @@ from model import START_MS, ends_of
 from spikewatch.config import SurgeConfig
 from spikewatch.operators import lateness
 from spikewatch.operators.lateness import audit_arrivals, late_lines, lateness_summary
-from spikewatch.operators.schedule import annotate_schedule, schedule_steps
+from spikewatch.operators.schedule import (
+    annotate_schedule,
+    annotate_versions,
+    schedule_steps,
+    version_spans,
+)
 
 SCHEMA = (
     "ride_id string, zone_id string, timestamp string, event_time_millis long, "
@@ -126,3 +131,60 @@ def test_steps_do_not_overlap(spark):
         ("Downtown", 31, 33, 9),
         ("Downtown", 33, 35, 7),
     ]
+
+
+VERSIONED = [
+    ("A", START_MS, 0, 10, 5),
+    ("A", START_MS, 5, 20, 2),
+    ("A", START_MS + 61_000, 30, 45, 7),
+    # Takes the schedule away.
+    ("A", START_MS + 130_500, 0, 0, 0),
+    ("A", START_MS + 200_000, 0, 45, 1),
+    ("B", START_MS - 10**12, 0, 45, 3),
+    ("B", START_MS + 10**12, 0, 45, 9),
+    (None, START_MS, 0, 45, 4),
+    ("A", None, 0, 45, 4),
+]
+
+
+@pytest.mark.parametrize("parts, era_s", [(1, 86_400), (7, 13), (64, 1000)])
+def test_versions_against_brute_force(spark, parts, era_s):
+    names = "zone string, valid_from_ms long, start_s long, end_s long, extra long"
+    versions = spark.createDataFrame(VERSIONED, names)
+    zones = F.explode(F.array(*map(F.lit, ("A", "B", "C"))))
+    events = spark.range(0, 300_000, 777).select(
+        (F.col("id") + START_MS - 30_000).alias("event_time_millis"), zones.alias("zone_id")
+    )
+    got = annotate_versions(events, versions, 45, START_MS, parts=parts, era_s=era_s).collect()
+    assert len(got) == events.count()
+    for r in got:
+        starts = [v for z, v, *_ in VERSIONED if z == r.zone_id and v is not None]
+        force = max((v for v in starts if v <= r.event_time_millis), default=None)
+        position = (r.event_time_millis - START_MS) / 1000 % 45
+        extra = sum(
+            x for z, v, lo, hi, x in VERSIONED
+            if force is not None and (z, v) == (r.zone_id, force) and lo <= position < hi
+        )
+        assert (r.extra, r.expected_load) == (extra, 1 + extra)
+
+
+def test_versions_without_events_or_versions(spark):
+    names = "zone string, valid_from_ms long, start_s long, end_s long, extra long"
+    versions = spark.createDataFrame(VERSIONED, names)
+    events = spark.createDataFrame([("A", 5)], "zone_id string, event_time_millis long")
+    assert annotate_versions(events.limit(0), versions, 45).collect() == []
+    assert [r.extra for r in annotate_versions(events, versions.limit(0), 45).collect()] == [0]
+    spans = version_spans(versions).filter("zone = 'B'").orderBy("valid_from_ms").collect()
+    assert [(r.valid_from_ms, r.valid_to_ms) for r in spans] == [
+        (START_MS - 10**12, START_MS + 10**12),
+        (START_MS + 10**12, None),
+    ]
+
+
+def test_old_versions_do_not_meet_in_one_task(spark):
+    """The join is on zone, era and part of the cycle, and nothing is broadcast by force."""
+    names = "zone string, valid_from_ms long, start_s long, end_s long, extra long"
+    versions = spark.createDataFrame(VERSIONED, names)
+    events = spark.range(5).selectExpr("'A' AS zone_id", f"id + {START_MS} AS event_time_millis")
+    plan = annotate_versions(events, versions, 45, START_MS)._jdf.queryExecution().toString()
+    assert "_era" in plan and "ResolvedHint" not in plan

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from model import START_MS, Model, batch_rows, replay
 from spikewatch.config import SurgeConfig
 from spikewatch.functions.timeline import EARLIEST_MS
-from spikewatch.plans.jobs import _batch_writer, requests_of, start_job
+from spikewatch.plans.jobs import _batch_writer, from_history, requests_of, start_job
 from spikewatch.plans.standing import Standing
 from spikewatch.sources.alert_log import log_lines, parse_alerts, stored_schema, valid_alerts
 from spikewatch.sources.lines import stream_lines
@@ -318,6 +318,37 @@ def stored_batches(spark, log):
     return [[r for r in rows if r.emit_batch == n] for n in (0, 1)]
 
 
+@pytest.mark.parametrize("mode", ["refire", "final"])
+def test_stream_after_history(spark, tmp_path, mode):
+    """Batch over the first part, a stream over the rest: the same as one stream over all."""
+    cfg = SurgeConfig(window_seconds=12, slide_seconds=4)
+    ticks = replay(60)
+    rows = sum(ticks, [])
+    past, later = rows[: len(rows) // 2], rows[len(rows) // 2 :]
+    given = spark.createDataFrame(past, "zone_id string, ms long")
+    given = given.withColumn("event_time", F.timestamp_millis("ms"))
+    first, states = from_history(given.repartition(3), cfg, mode)
+    feed(tmp_path / "in", [later[:50], later[50:]])
+    log = run(spark, tmp_path, cfg, mode, states=states, flush=True)
+    whole = {}
+    for r in first.orderBy("emit_seq").collect():
+        whole.setdefault(r.zone, []).append((r.window_end_ms, r.request_count, r.ema_baseline, r.status))
+    settled = {zone: len(rows) for zone, rows in whole.items()}
+    assert all(settled.values())
+    parts = spark.read.schema(stored_schema()).parquet(log)
+    for r in parts.orderBy("emit_seq").collect():
+        assert r.emit_seq == len(whole[r.zone])
+        ms = int(r.timestamp.replace(tzinfo=timezone.utc).timestamp() * 1000)
+        whole[r.zone].append((ms, r.request_count, r.ema_baseline, r.status))
+    assert rounded(whole) == rounded(batch_rows(rows, cfg))
+
+
+def test_no_history(spark):
+    none = spark.createDataFrame([], "zone_id string, event_time timestamp")
+    first, states = from_history(none, SurgeConfig(), "final")
+    assert first.collect() == [] and states.collect() == []
+
+
 def test_far_dates_do_not_stop_a_stream(spark, tmp_path):
     cfg = SurgeConfig()
     batches = seconds([0, 1], [12], [60])
