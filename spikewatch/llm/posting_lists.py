@@ -3,17 +3,22 @@
 The lists' centroids come from a bounded sample of the vectors, halved again and again at the
 median of the direction between two means, so that lists are of even size. Every vector is
 indexed: in the list of its nearest centroid, and, if it lies near a boundary, also in those
-of other centroids that are hardly farther and that no chosen centroid covers. Centroids
+of other centroids that are hardly farther and that no chosen centroid covers; on the vectors
+tried that makes two lists for a vector on average, and the ratio decides, not the cap. Centroids
 are found by a beam search on their neighbour graph, held in memory; there are ``MOST_LISTS`` of
 them at most, whatever the input. A query reads the lists whose distance is within a ratio
-of the nearest one's, up to the same share of all lists however many there are.
+of the nearest one's, up to the same share of all lists however many there are. Where
+neighbours are near the ratio leaves most of those out; where they hardly differ from any other
+vector (a fifth neighbour at a cosine of 0.5 in 64 dimensions) no list is far enough to do
+without, and a third of the lists is read, two thirds as many entries as there are vectors.
 
 Equal vectors are one entry that keeps its smallest numbers, as many as a result can show, so
 copies cost nothing and lose nothing. Lists and their queries meet in blocks of bounded size.
 Scores are cosines in double precision over the vectors as given.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do those
-that are not of the most common length. With few vectors there is one list, and the search
+that are not of the most common length, nor rows without a number. Components may be as large
+or small as doubles get. With few vectors there is one list, and the search
 is exact. Ties go to the smaller number. Rows with the same number and vector count once; an
 empty table gives no rows.
 """
@@ -34,18 +39,18 @@ from spikewatch.llm.tables import keep
 # vectors a list should have.
 SAMPLE = 20_000
 SAMPLE_PER_LIST = 8
-PER_LIST = 200
+PER_LIST = 100
 MOST_LISTS = 4096
 # Neighbours of a centroid in the graph, and how many the search holds on to; a query's search
 # holds on to one in ``SHARE`` of the centroids if that is more.
 DEGREE = 24
 BEAM = 48
-SHARE = 16
+SHARE = 3
 # A vector joins lists up to this ratio of its nearest distance, and so many at most.
-BOUNDARY = 1.15
-REPLICAS = 6
+BOUNDARY = 1.03
+REPLICAS = 8
 # A query reads lists up to this ratio of its nearest distance, of those in the beam.
-REACH = 1.35
+REACH = 1.5
 # Entries and queries that meet in one task's block.
 BLOCK_ENTRIES = 8192
 BLOCK_QUERIES = 8192
@@ -86,6 +91,11 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times powers of two: no square runs over, and no digit of a cosine changes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def balanced_centroids(points: np.ndarray, lists: int) -> np.ndarray:
     """Means of ``lists`` (a power of two) parts of even size."""
     parts = [points]
@@ -238,7 +248,7 @@ def neighbours(
     rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found to each query row."""
-    given = rows.filter(usable(F.col(vector))).select(
+    given = rows.filter(usable(F.col(vector)) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).alias("vec_id"),
         is_query.alias("asks"),
         packed(F.col(vector)).alias("entry"),
@@ -276,10 +286,10 @@ def neighbours(
         out: list[dict] = []
         if rows.num_rows and asking.num_rows:
             keys, ids = rows["entry"].to_pylist(), rows["ids"].to_pylist()
-            vectors = matrix(keys)
+            vectors = scaled(matrix(keys))
             lengths = np.linalg.norm(vectors, axis=1)
             for query in asking["query"].to_pylist():
-                own = np.frombuffer(query, "<f8")
+                own = scaled(matrix([query]))[0]
                 scores = np.einsum("nd,d->n", vectors, own) / (lengths * np.linalg.norm(own))
                 # All that tie with the last place go on; copies of the query may be skipped.
                 best = np.argsort(-scores, kind="stable")[: k + 1]

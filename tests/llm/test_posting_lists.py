@@ -112,3 +112,34 @@ def test_recall_with_many_more_lists_than_the_beam():
     )
     assert hits / near.size >= 0.9
     assert max(map(len, read)) <= posting_lists.MOST_LISTS // posting_lists.SHARE
+
+
+def test_rows_without_a_number_and_extreme_components(spark):
+    schema = "vec_id long, embedding array<double>"
+    rng = np.random.default_rng(5)
+    rows = [(n, rng.normal(size=4).tolist()) for n in range(30)]
+    # Scaled by powers of two, so that plain cosines of the unscaled rows are the same.
+    scales = [2.0**900, 2.0**-900, 1.0]
+    big = [(n, (np.array(v) * scales[n % 3]).tolist()) for n, v in rows]
+    given = [*big, (None, rows[0][1]), (None, None)]
+    plain = {n: np.array(v) for n, v in rows}
+    got = found(neighbours(spark.createDataFrame(given, schema), F.col("vec_id") % 10 == 0))
+    assert sorted(got) == [0, 10, 20]
+    for q, near in got.items():
+        cosines = {
+            n: float(plain[q] @ v) / (np.linalg.norm(plain[q]) * np.linalg.norm(v))
+            for n, v in plain.items() if n != q
+        }
+        best = sorted(cosines, key=lambda n: (-cosines[n], n))[:5]
+        assert [n for n, _ in near] == best
+        assert [s for _, s in near] == pytest.approx([cosines[n] for n in best], abs=1e-15)
+
+
+@pytest.mark.parametrize("groups", [1, 10])
+def test_boundaries_not_the_cap_decide(groups):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(groups, 64))
+    points = unit(centres[rng.integers(0, groups, 8000)] + 0.7 * rng.normal(size=(8000, 64)))
+    graph = Graph.of(balanced_centroids(points, 64))
+    counts = np.array([len(own) for own in graph.lists_of(points[:640])])
+    assert counts.mean() < 3 and (counts == posting_lists.REPLICAS).mean() < 0.02
