@@ -1,6 +1,8 @@
 """Every query against its SQL counterpart on the smallest tables, and plan checks."""
 
 import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -89,3 +91,21 @@ def test_audit_scans_twice_only(spark):
     df = entry_point.queries()["arrival_audit"](spark, SF)
     final = executed(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 2
+
+
+@pytest.mark.parametrize("missing", ["spikewatch.llm", "a_package_it_needs"])
+def test_entry_without_the_optional_queries(missing):
+    """The other queries are there whatever the optional subpackage lacks."""
+    finder = f"""
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith("spikewatch.llm"):
+            raise ModuleNotFoundError(name, name={missing!r})
+sys.meta_path.insert(0, Gone())
+import __spark_entry__
+print(sorted(__spark_entry__.queries()) == sorted(__spark_entry__.catalog.QUERIES))
+"""
+    root = Path(entry_point.__file__).parent
+    done = subprocess.run([sys.executable, "-c", finder], cwd=root, capture_output=True, text=True)
+    assert done.stdout.strip() == "True", done.stderr
