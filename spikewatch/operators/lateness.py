@@ -81,9 +81,17 @@ def audit_arrivals(
     side skewed, which adaptive execution splits.
     """
     newest = newest_before(events, arrival, time_ms).withColumnRenamed("arrival", "_arrival")
-    event_ms, newest_ms = F.col(time_ms), F.col("newest_ms")
-    return events.join(newest, F.col(arrival).eqNullSafe(F.col("_arrival")), "left").select(
-        *events.columns,
+    joined = events.join(newest, F.col(arrival).eqNullSafe(F.col("_arrival")), "left")
+    return audited_by(joined, F.col("newest_ms"), cfg, time_ms).drop("newest_ms", "_arrival")
+
+
+def audited_by(
+    events: DataFrame, newest_ms: Column, cfg: SurgeConfig, time_ms: str = "event_time_millis"
+) -> DataFrame:
+    """The audit's columns, given the newest event time that came in before each event."""
+    event_ms = F.col(time_ms)
+    return events.select(
+        "*",
         (newest_ms - F.lit(cfg.watermark_ms)).alias("watermark_ms"),
         F.greatest(F.lit(0), F.coalesce(newest_ms - event_ms, F.lit(0))).alias("lag_ms"),
         arrival_class(cfg, event_ms, newest_ms).alias("arrival_class"),

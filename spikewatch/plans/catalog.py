@@ -11,8 +11,10 @@ from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from spikewatch.config import SurgeConfig
+from spikewatch.functions.jsontext import not_blank
 from spikewatch.functions.timeline import iso_utc, latest_end, millis_of, next_end
 from spikewatch.operators import report
 from spikewatch.operators.history import detect_long
@@ -42,6 +44,7 @@ from spikewatch.sources.requests import (
     rejected,
     request_line,
 )
+from spikewatch.streaming.arrivals import audited_rows, start_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,16 +201,20 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_requests(read_lines(spark, path))
 
 
+def _parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_requests(raw_lines(spark, sf_dir).filter(not_blank(F.col("value"))))
+
+
 def requests_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accepted(_parsed(spark, sf_dir))
+    return accepted(_parsed_lines(spark, sf_dir))
 
 
 def requests_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected(_parsed(spark, sf_dir))
+    return rejected(_parsed_lines(spark, sf_dir))
 
 
 def requests_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reject_counts(_parsed(spark, sf_dir))
+    return reject_counts(_parsed_lines(spark, sf_dir))
 
 
 def requests_failfast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -548,35 +555,53 @@ def stream_refire_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
 PART_S, SHORT_PART_S = 10 * DAY, 5 * DAY
 
 
-def _replayed(
-    spark: SparkSession,
-    sf_dir: str,
-    mode: str,
-    fmt: str = "parquet",
-    part_s: int = PART_S,
-    **outputs: str,
-) -> str:
-    """The log of a stream of text lines in arrival order: a folder of files for every part
-    and micro-batch, so that late rows come with later batches."""
+def _feed(spark: SparkSession, sf_dir: str, part_s: int, checkpoint: str) -> DataFrame:
+    """A stream of request lines in arrival order: a folder of files for every part and
+    micro-batch, so that late rows come with later batches."""
     configure(spark)
-    feed, path = shared_dir(spark, "feed"), shared_dir(spark, "replay-log")
+    feed = shared_dir(spark, "feed")
     line = F.to_json(F.struct("ride_id", "zone_id", "timestamp", "is_simulated_late"))
     arrivals(spark, sf_dir).select(
         line.alias("value"),
         F.format_string("%08d", F.floor(F.col("arrival") / part_s)).alias("part"),
     ).write.partitionBy("part").text(feed)
-    checkpoint = shared_dir(spark, "replay-checkpoint")
     lines = stream_lines(
         spark, "growing_lines", path=feed, folderPerBatch="true", checkpoint=checkpoint
     )
-    job = start_job(requests_of(lines), path, checkpoint, LATE, mode, fmt, **outputs)
+    return requests_of(lines)
+
+
+def _finish(job: StreamingQuery) -> None:
     try:
         job.processAllAvailable()
     finally:
         job.stop()
+
+
+def _replayed(
+    spark: SparkSession,
+    sf_dir: str,
+    mode: str,
+    fmt: str = "parquet",
+    part_s: int = PART_S,
+    **outputs: str,
+) -> str:
+    """The log of such a stream."""
+    path, checkpoint = shared_dir(spark, "replay-log"), shared_dir(spark, "replay-checkpoint")
+    requests = _feed(spark, sf_dir, part_s, checkpoint)
+    _finish(start_job(requests, path, checkpoint, LATE, mode, fmt, **outputs))
     return path
 
 
+def stream_arrival_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the requests of a running stream stood, a micro-batch being an arrival."""
+    path, checkpoint = shared_dir(spark, "audit"), shared_dir(spark, "audit-checkpoint")
+    _finish(start_audit(_feed(spark, sf_dir, PART_S, checkpoint), path, checkpoint, LATE))
+    return audited_rows(spark, path).select(
+        "ride_id", F.col("emit_batch").alias("arrival"), "watermark_ms", "lag_ms", "arrival_class"
+    )
+
+
 def stream_refire_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows make windows fire again, or are dropped."""
     return _stored(spark, _replayed(spark, sf_dir, "refire"))
@@ -747,6 +772,7 @@ QUERIES: dict[str, Query] = {
         stream_refire_dropped,
         stream_final_dropped,
         stream_log_order,
+        stream_arrival_audit,
         log_some_days,
         standing_rows,
         standing_summary,

@@ -537,6 +537,13 @@ GROUP BY ALL""",
         floor_to(f"({floor_to('e', LATE.pane_ms)} + {LATE.window_ms})", LATE.slide_ms) + " <= wm",
     ),
     "stream_log_order": replay_refire(),
+    "stream_arrival_audit": f"""WITH {_parts(LATE.watermark_ms)},
+numbered AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS arrival FROM marks)
+SELECT CAST(event_id AS VARCHAR) AS ride_id, arrival, wm AS watermark_ms,
+  greatest(0, coalesce(wm + {LATE.watermark_ms} - e, 0)) AS lag_ms,
+  CASE WHEN wm > last_t + {LATE.lateness_ms} THEN 'dropped' WHEN next_t <= wm THEN 'late_refire'
+    WHEN e < wm + {LATE.watermark_ms} THEN 'out_of_order' ELSE 'on_time' END AS arrival_class
+FROM judged JOIN numbered USING (p)""",
     "log_some_days": f"""WITH RECURSIVE {evaluated(BY_USER_ID, BY_USER)}
 SELECT {iso('t')} AS window_end, zone, c AS request_count, {CENTS} AS ema_baseline, status
 FROM out WHERE t >= {int(SOME_DAYS[0].timestamp() * 1000)} AND t < {int(SOME_DAYS[1].timestamp() * 1000)}""",
