@@ -2,10 +2,12 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from spikewatch.llm.substrings import remove_repeats
+from spikewatch.session import scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -73,3 +75,11 @@ def test_untouched_text_stays_as_it_is(make_docs, prose):
 
 def test_empty_table(make_docs):
     assert remove_repeats(make_docs([])).select(F.count("*")).first()[0] == 0
+
+
+def test_nothing_is_left_of_a_scope(spark, make_docs, prose):
+    before = {t.name for t in spark.catalog.listTables()}
+    with scratch(spark) as folder:
+        assert remove_repeats(make_docs([(1, prose(1, 60)), (2, prose(1, 60))])).count() == 2
+        assert {t.name for t in spark.catalog.listTables()} > before
+    assert {t.name for t in spark.catalog.listTables()} == before and not Path(folder).exists()
