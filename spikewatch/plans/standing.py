@@ -168,6 +168,8 @@ def _merge(
         at, files = _folder(spark, path)
         files.delete(at, True)
         before = spark.createDataFrame([], SNAPSHOT)
+    # Read several times; a snapshot does not grow with the log.
+    before = before.persist()
     # Times pass through the driver as microseconds, which no time zone changes.
     at = F.unix_micros("timestamp")
     log = before.filter("kind = 'log'")
@@ -179,6 +181,9 @@ def _merge(
         fine = F.when(at >= limit, True).otherwise(F.raise_error(late).cast("boolean"))
         rows = rows.filter(fine)
     rows = rows.persist()
+    evaluations = before.filter("kind = 'open'").select(*NAMES).union(rows)
+    evaluations = report.last_rows(evaluations, ["timestamp", "zone"], ["emit_batch", "emit_seq"])
+    evaluations = evaluations.persist()
     try:
         new = rows.agg(F.max(at).alias("newest"), F.count(F.lit(1)).alias("n")).first()
         times = [t for t in (new["newest"], told["newest"] if told else None) if t is not None]
@@ -188,8 +193,6 @@ def _merge(
             edge = newest - 1000 * (cfg.lateness_ms + cfg.window_ms)
             edge = edge if limit is None else max(edge, limit)
         is_settled = F.lit(False) if edge is None else at < edge
-        evaluations = before.filter("kind = 'open'").select(*NAMES).union(rows)
-        evaluations = report.last_rows(evaluations, ["timestamp", "zone"], ["emit_batch", "emit_seq"])
         settled = evaluations.filter(is_settled)
         settled.withColumn("date", date_of()).write.mode("overwrite").partitionBy("date").parquet(
             f"{path}/settled/batch={batch_id}"
@@ -218,7 +221,8 @@ def _merge(
         files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
         snapshot.coalesce(files).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
     finally:
-        rows.unpersist()
+        for frame in (evaluations, rows, before):
+            frame.unpersist()
     for old in versions(spark, path):
         if old < batch_id - 1:
             at, files = _folder(spark, f"{path}/version={old}")
