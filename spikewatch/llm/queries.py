@@ -128,7 +128,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted language of every document, learned from three quarters of them."""
+    """Predicted language of every document, learned from three quarters of them.
+
+    A row without a number is predicted, not learned from, and its ``held_out`` is null.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     model = language.fit(docs.filter(~held_out))
@@ -149,7 +152,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every document, learned from four fifths of the labels."""
+    """Toxicity of every document, learned from four fifths of the labels.
+
+    A row without a number is scored, not learned from, and its ``held_out`` is null.
+    """
     number = F.col("doc_id").cast("string").cast("binary")
     held_out = F.crc32(number) % 5 == 0
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
