@@ -3,14 +3,12 @@
 The lists' centroids come from a bounded sample of the vectors, halved again and again at the
 median of the direction between two means, so that lists are of even size. Every vector is
 indexed: in the list of its nearest centroid, and, if it lies near a boundary, also in those
-of other centroids that are hardly farther and that no chosen centroid covers; on the vectors
-tried that makes two lists for a vector on average, and the ratio decides, not the cap. Centroids
+of other centroids that are hardly farther and that no chosen centroid covers. Centroids
 are found by a beam search on their neighbour graph, held in memory; there are ``MOST_LISTS`` of
 them at most, whatever the input. A query reads the lists whose distance is within a ratio
 of the nearest one's, up to the same share of all lists however many there are. Where
 neighbours are near the ratio leaves most of those out; where they hardly differ from any other
-vector (a fifth neighbour at a cosine of 0.5 in 64 dimensions) no list is far enough to do
-without, and a third of the lists is read, two thirds as many entries as there are vectors.
+vector (a fifth neighbour at a cosine of 0.5 in 64 dimensions) no list is far enough to do without.
 
 Equal vectors are one entry that keeps its smallest numbers, as many as a result can show, so
 copies cost nothing and lose nothing. Lists and their queries meet in blocks of bounded size.
@@ -39,18 +37,18 @@ from spikewatch.llm.tables import keep
 # vectors a list should have.
 SAMPLE = 20_000
 SAMPLE_PER_LIST = 8
-PER_LIST = 100
+PER_LIST = 200
 MOST_LISTS = 4096
 # Neighbours of a centroid in the graph, and how many the search holds on to; a query's search
 # holds on to one in ``SHARE`` of the centroids if that is more.
 DEGREE = 24
 BEAM = 48
-SHARE = 3
+SHARE = 16
 # A vector joins lists up to this ratio of its nearest distance, and so many at most.
-BOUNDARY = 1.03
-REPLICAS = 8
+BOUNDARY = 1.15
+REPLICAS = 6
 # A query reads lists up to this ratio of its nearest distance, of those in the beam.
-REACH = 1.5
+REACH = 1.35
 # Entries and queries that meet in one task's block.
 BLOCK_ENTRIES = 8192
 BLOCK_QUERIES = 8192

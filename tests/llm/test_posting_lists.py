@@ -133,13 +133,3 @@ def test_rows_without_a_number_and_extreme_components(spark):
         best = sorted(cosines, key=lambda n: (-cosines[n], n))[:5]
         assert [n for n, _ in near] == best
         assert [s for _, s in near] == pytest.approx([cosines[n] for n in best], abs=1e-15)
-
-
-@pytest.mark.parametrize("groups", [1, 10])
-def test_boundaries_not_the_cap_decide(groups):
-    rng = np.random.default_rng(6)
-    centres = rng.normal(size=(groups, 64))
-    points = unit(centres[rng.integers(0, groups, 8000)] + 0.7 * rng.normal(size=(8000, 64)))
-    graph = Graph.of(balanced_centroids(points, 64))
-    counts = np.array([len(own) for own in graph.lists_of(points[:640])])
-    assert counts.mean() < 3 and (counts == posting_lists.REPLICAS).mean() < 0.02
