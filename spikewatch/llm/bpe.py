@@ -282,6 +282,21 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def packed_ids(own: Encoder, texts: pa.Array) -> pa.Array:
+    """Token ids of each text, packed as little-endian unsigned 32-bit integers."""
+    parts = []
+    for a, b in pieces(text_sizes(texts)):
+        flat, lengths, _ = own.encode([t or "" for t in texts[a:b].to_pylist()])
+        parts.append(binaries(flat.astype("<u4"), lengths))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+
+def joined_tokens(tokens: list[str], ids: pa.Array) -> pa.Array:
+    """Text of each row of packed token ids."""
+    rows = (np.frombuffer(row or b"", "<u4").tolist() for row in ids.to_pylist())
+    return pa.array([" ".join(map(tokens.__getitem__, row)) for row in rows], pa.string())
+
+
 def encode(text: Column, path: str) -> Column:
     """Token ids of a text column, packed as little-endian unsigned 32-bit integers."""
 
@@ -289,12 +304,7 @@ def encode(text: Column, path: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path)
         for texts in batches:
-            parts = []
-            for a, b in pieces(text_sizes(texts)):
-                part = [t or "" for t in texts[a:b].to_pylist()]
-                flat, lengths, _ = own.encode(part)
-                parts.append(binaries(flat.astype("<u4"), lengths))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+            yield packed_ids(own, texts)
 
     return ids(text)
 
@@ -304,14 +314,32 @@ def decode(packed: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = token_texts(path).__getitem__
+        tokens = token_texts(path)
         for ids in batches:
-            rows = (np.frombuffer(row or b"", "<u4").tolist() for row in ids.to_pylist())
-            yield pa.array([" ".join(map(token, row)) for row in rows], pa.string())
+            yield joined_tokens(tokens, ids)
 
     return text(packed)
 
 
+def encode_decode(text: Column, path: str) -> Column:
+    """What ``encode`` and, of its ids, ``decode`` return, as a struct of ``ids`` and ``decoded``.
+
+    Both steps run in one Python worker. ``decode`` over the column of ``encode`` takes two a
+    task, which one JVM thread has to feed and read in turn, and sends the ids there and back.
+    """
+
+    @F.arrow_udf("ids binary, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own, tokens = encoder(path), token_texts(path)
+        for texts in batches:
+            ids = packed_ids(own, texts)
+            yield pa.StructArray.from_arrays(
+                [ids, joined_tokens(tokens, ids)], names=["ids", "decoded"]
+            )
+
+    return both(text)
+
+
 def token_total(packed: Column) -> Column:
     """How many tokens packed ids hold."""
     return (F.octet_length(packed) / 4).cast("long")

@@ -52,13 +52,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document and decode it again."""
     path = public_tokenizers.path(WORD_BPE)
     docs = table(spark, sf_dir, "documents")
-    coded = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    both = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), path).alias("decoded"))
-    return both.select(
+    coded = docs.select("doc_id", bpe.encode_decode(F.col("text"), path).alias("coded"))
+    return coded.select(
         "doc_id",
-        bpe.token_total(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        bpe.token_total(F.col("coded.ids")).alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 

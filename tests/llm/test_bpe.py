@@ -1,5 +1,6 @@
 """Coding against the tokenizers library, and the edge cases of a column."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spikewatch.llm import bpe, token_counts
+from spikewatch.llm import bpe, queries, token_counts
 from spikewatch.llm.batches import offsets_of, pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +82,28 @@ def test_columns(make_docs, library):
 def test_empty_table(make_docs):
     docs = make_docs([])
     assert docs.select(bpe.encode(F.col("text"), PATH)).collect() == []
+    assert docs.select(bpe.encode_decode(F.col("text"), PATH)).collect() == []
+
+
+def test_query_codes_in_one_worker(spark, make_docs, library, tmp_path):
+    texts = [*ODD, None, ODD[3]]
+    docs = make_docs([*enumerate(texts), (None, ODD[4]), (0, ODD[0])])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op1_bpe(spark, str(tmp_path))
+    # Two Python workers a task, one fed from the other, once stood still for minutes.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EvalPython") == 1
+    assert plan.count("both(text") == 1
+
+    def row(doc_id, text):
+        ids = expected(library, [text or ""])[0]
+        back = library.decode(ids, skip_special_tokens=False).encode()
+        packed = np.array(ids, "<u4").tobytes()
+        sums = (hashlib.sha256(part).hexdigest() for part in (packed, back))
+        return (doc_id, len(ids), *sums)
+
+    rows = [row(n, t) for n, t in [*enumerate(texts), (None, ODD[4]), (0, ODD[0])]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
 
 
 def best_segmentation(scores, word):
